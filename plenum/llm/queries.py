@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from plenum.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from plenum.llm.sentence_pieces import op3_sentence_pieces
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_sentence_pieces": op3_sentence_pieces,
 }
 
 #: DuckDB SQL where the contract's rows can be said in SQL.
