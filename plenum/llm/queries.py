@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from plenum.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from plenum.llm.mixing import OP4_SQL, op4_mix
 from plenum.llm.sentence_pieces import op3_sentence_pieces
+from plenum.llm.sharding import op8_shard
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_sentence_pieces": op3_sentence_pieces,
+    "op4_mix": op4_mix,
+    "op8_shard": op8_shard,
 }
 
 #: DuckDB SQL where the contract's rows can be said in SQL.
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op4_mix": OP4_SQL,
 }
