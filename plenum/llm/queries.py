@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from plenum.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from plenum.llm.mixing import OP4_SQL, op4_mix
+from plenum.llm.quality_rules import OP7_SQL, op7_quality_rules
 from plenum.llm.sentence_pieces import op3_sentence_pieces
 from plenum.llm.sharding import op8_shard
+from plenum.llm.warc import OP2_SQL, op2_warc
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_warc": op2_warc,
     "op3_sentence_pieces": op3_sentence_pieces,
     "op4_mix": op4_mix,
+    "op7_quality_rules": op7_quality_rules,
     "op8_shard": op8_shard,
 }
 
 #: DuckDB SQL where the contract's rows can be said in SQL.
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op2_warc": OP2_SQL,
     "op4_mix": OP4_SQL,
+    "op7_quality_rules": OP7_SQL,
 }
