@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from plenum.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from plenum.llm.mixing import OP4_SQL, op4_mix
+from plenum.llm.personal_data import op5_personal_data
 from plenum.llm.quality_rules import OP7_SQL, op7_quality_rules
 from plenum.llm.sentence_pieces import op3_sentence_pieces
 from plenum.llm.sharding import op8_shard
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_sentence_pieces": op3_sentence_pieces,
     "op4_mix": op4_mix,
+    "op5_personal_data": op5_personal_data,
     "op7_quality_rules": op7_quality_rules,
     "op8_shard": op8_shard,
 }
