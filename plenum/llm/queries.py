@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from plenum.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from plenum.llm.mixing import OP4_SQL, op4_mix
+from plenum.llm.near_dedup import OP10_SQL, op10_near_dedup
 from plenum.llm.personal_data import op5_personal_data
 from plenum.llm.quality_rules import OP7_SQL, op7_quality_rules
 from plenum.llm.sentence_pieces import op3_sentence_pieces
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_personal_data": op5_personal_data,
     "op7_quality_rules": op7_quality_rules,
     "op8_shard": op8_shard,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 #: DuckDB SQL where the contract's rows can be said in SQL.
@@ -26,4 +28,5 @@ ORACLES = {
     "op2_warc": OP2_SQL,
     "op4_mix": OP4_SQL,
     "op7_quality_rules": OP7_SQL,
+    "op10_near_dedup": OP10_SQL,
 }
