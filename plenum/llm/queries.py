@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from plenum.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from plenum.llm.language_model import op6_language_model
 from plenum.llm.mixing import OP4_SQL, op4_mix
 from plenum.llm.near_dedup import OP10_SQL, op10_near_dedup
 from plenum.llm.personal_data import op5_personal_data
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_sentence_pieces": op3_sentence_pieces,
     "op4_mix": op4_mix,
     "op5_personal_data": op5_personal_data,
+    "op6_language_model": op6_language_model,
     "op7_quality_rules": op7_quality_rules,
     "op8_shard": op8_shard,
     "op10_near_dedup": op10_near_dedup,
