@@ -10,6 +10,7 @@ from plenum.llm.personal_data import op5_personal_data
 from plenum.llm.quality_rules import OP7_SQL, op7_quality_rules
 from plenum.llm.sentence_pieces import op3_sentence_pieces
 from plenum.llm.sharding import op8_shard
+from plenum.llm.toxicity import op9_toxicity
 from plenum.llm.warc import OP2_SQL, op2_warc
 
 QUERIES = {
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_language_model": op6_language_model,
     "op7_quality_rules": op7_quality_rules,
     "op8_shard": op8_shard,
+    "op9_toxicity": op9_toxicity,
     "op10_near_dedup": op10_near_dedup,
 }
 
