@@ -2,5 +2,12 @@
 
 from __future__ import annotations
 
+from plenum.plans import decisions
+
+_GROUPS = (decisions,)
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+for _group in _GROUPS:
+    QUERIES.update(_group.QUERIES)
+    ORACLES.update(_group.ORACLES)
