@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from plenum.plans import decisions
+from plenum.plans import decisions, votes
 
-_GROUPS = (decisions,)
+_GROUPS = (decisions, votes)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
