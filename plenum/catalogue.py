@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from plenum.plans import decisions, votes
+from plenum.plans import decisions, evaluations, votes
 
-_GROUPS = (decisions, votes)
+_GROUPS = (decisions, votes, evaluations)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
