@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from plenum.plans import decisions, evaluations, votes
+from plenum.plans import decisions, evaluations, orders, texts, votes
 
-_GROUPS = (decisions, votes, evaluations)
+_GROUPS = (decisions, votes, evaluations, texts, orders)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
