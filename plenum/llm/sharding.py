@@ -9,7 +9,7 @@ equal bytes: shards differ by less than one document, groups stay together save
 
 Only DataFrame operations are used. Defined cases
 - null text: no bytes, so size 1, and the checksum of the empty text; null and empty texts are linked.
-- ties between shards go to the lower number; equal rows are ordered by id, nulls last.
+- ties between shards are settled by a hash of group and shard; equal rows are ordered by id, nulls last.
 - rows that repeat an id are separate documents. Empty table: empty result. Extra columns are ignored.
 - a group larger than a shard spans several shards; each shard admits what its quota allows.
 """
@@ -30,13 +30,19 @@ def _fraction(*columns: Column) -> Column:
     return (F.xxhash64(*columns).bitwiseAND(F.lit((1 << 53) - 1))).cast("double") / F.lit(float(1 << 53))
 
 
-def _round(linked: DataFrame, fixed: DataFrame, shards: int, capacity: float, nth: int) -> DataFrame:
-    """One round: linked documents move towards the shard with most of their group, under quotas."""
+def _aims(linked: DataFrame) -> DataFrame:
+    """Linked documents with the shard (`goal`) that holds most of their group."""
     held = linked.groupBy("group", "shard").agg(F.sum("size").alias("bytes"))
-    best = held.groupBy("group").agg(F.max(F.struct("bytes", (-F.col("shard")).alias("s"))).alias("m"))
-    best = stash(best.select(F.col("group").alias("g"), (-F.col("m.s")).alias("goal")), "shard-goals")
+    # Shards that hold as much as each other are told apart by hash, so that no shard is wanted more than others.
+    best = held.groupBy("group").agg(F.max(F.struct("bytes", F.xxhash64("group", "shard").alias("h"), "shard")).alias("m"))
+    best = stash(best.select(F.col("group").alias("g"), F.col("m.shard").alias("goal")), "shard-goals")
     aims = linked.join(best, (F.xxhash64("group") == F.xxhash64("g")) & (F.col("group") == F.col("g"))).drop("g")
-    aims = stash(aims, "shard-aims")
+    return stash(aims, "shard-aims")
+
+
+def _round(linked: DataFrame, fixed: DataFrame, shards: int, capacity: float, nth: int) -> DataFrame:
+    """One round: linked documents move towards the shard with most of their group, under quotas."""
+    aims = _aims(linked)
     # At most one row per shard from here on.
     load = linked.select("shard", "size").unionByName(fixed).groupBy("shard").agg(F.sum("size").alias("load"))
     moving = aims.where("shard <> goal")
@@ -45,7 +51,7 @@ def _round(linked: DataFrame, fixed: DataFrame, shards: int, capacity: float, nt
     quota = (
         arriving.join(load, F.col("goal") == F.col("shard"), "left")
         .join(leaving, F.col("goal") == F.col("from_shard"), "left")
-        .select(F.col("goal").alias("q"), (F.greatest(F.lit(0.0), F.lit(capacity) - F.coalesce(F.col("load"), F.lit(0)) + F.coalesce(F.col("gone"), F.lit(0)) / 2) / F.col("wish")).alias("part"))
+        .select(F.col("goal").alias("q"), (F.greatest(F.lit(0.0), F.lit(capacity) - F.coalesce(F.col("load"), F.lit(0)) + F.coalesce(F.col("gone"), F.lit(0))) / F.col("wish")).alias("part"))
     )
     goes = _fraction("id", "group", F.lit(nth)) < F.coalesce(F.col("part"), F.lit(1.0))
     moved = aims.join(F.broadcast(quota), F.col("goal") == F.col("q"), "left")
@@ -69,7 +75,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text: s
     fixed = alone.groupBy("shard").agg(F.sum("size").alias("size"))
     for nth in range(rounds):
         linked = _round(linked, fixed, shards, capacity, nth)
-    labels = linked.unionByName(alone)
+    # Stragglers stand with their group's majority in the line; only the line's cuts part a group.
+    settled = _aims(linked).select("id", "group", "size", "crc", F.col("goal").alias("shard"))
+    labels = settled.unionByName(alone)
     order = [F.col("shard"), F.col("group"), F.col("id").asc_nulls_last(), F.col("size")]
     line = cumulate(labels, [], order, {"bytes": F.col("size"), "rows": F.lit(1)}, "shard-line")
     place = F.least(F.floor((F.col("bytes_before") + F.col("size") / 2) * shards / F.col("bytes_all")), F.lit(shards - 1))
