@@ -158,10 +158,10 @@ def oracle_ceilings(spark, sf_dir):
 def out_of_fold(spark, sf_dir):
     """Each fold's constant is fitted on the other folds, in one pass."""
     c = table(spark, sf_dir, "customer").withColumn("fold", (F.col("c_custkey") % 5).cast("int"))
-    g = c.groupBy("c_mktsegment", "fold").agg(F.sum("c_acctbal").alias("s"), F.count(F.lit(1)).alias("n"))
+    g = c.groupBy("c_mktsegment", "fold").agg(F.sum(F.round(F.col("c_acctbal") * 100).cast("long")).alias("s"), F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("c_mktsegment")
     rest = (F.sum("s").over(w) - F.col("s")) / (F.sum("n").over(w) - F.col("n"))
-    return g.select("c_mktsegment", "fold", F.round(rest, 4).alias("fitted"))
+    return g.select("c_mktsegment", "fold", rest.alias("fitted_cents"))
 
 
 QUERIES = {
@@ -208,5 +208,5 @@ ORACLES = {
     "headroom_transfer": f"WITH {CASE_FACTS}, a AS (SELECT branch, avg((n >= 3)::INT) AS rate FROM decided WHERE case_id % 2 = 0 GROUP BY branch), b AS (SELECT branch, count(*) AS n FROM decided WHERE case_id % 2 = 1 GROUP BY branch) SELECT branch, b.n, round(a.rate * b.n, 6) AS projected FROM b JOIN a USING (branch)",
     "margin_precision": "WITH m AS (SELECT l_orderkey, max(l_quantity) AS q, max((l_returnflag = 'R')::INT) AS hit FROM lineitem GROUP BY l_orderkey) SELECT CAST(floor(q / 10) AS INT) AS bucket, count(*) AS n, round(avg(hit), 9) AS precision FROM m GROUP BY 1",
     "oracle_ceilings": "WITH g AS (SELECT l_orderkey, max((l_returnflag = 'A')::INT) AS r, max((l_returnflag = 'A' AND l_suppkey % 2 = 0)::INT) AS t FROM lineitem GROUP BY l_orderkey) SELECT count(*) AS cases, sum(r)::BIGINT AS any_read, sum(t)::BIGINT AS any_text FROM g",
-    "out_of_fold": "WITH g AS (SELECT c_mktsegment, CAST(c_custkey % 5 AS INT) AS fold, sum(c_acctbal) AS s, count(*) AS n FROM customer GROUP BY ALL) SELECT c_mktsegment, fold, round((sum(s) OVER w - s) / (sum(n) OVER w - n), 4) AS fitted FROM g WINDOW w AS (PARTITION BY c_mktsegment)",
+    "out_of_fold": "WITH g AS (SELECT c_mktsegment, CAST(c_custkey % 5 AS INT) AS fold, sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS s, count(*) AS n FROM customer GROUP BY ALL) SELECT c_mktsegment, fold, CAST(sum(s) OVER w - s AS DOUBLE) / CAST(sum(n) OVER w - n AS DOUBLE) AS fitted_cents FROM g WINDOW w AS (PARTITION BY c_mktsegment)",
 }
