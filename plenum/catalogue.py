@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from plenum.plans import decisions, evaluations, orders, texts, votes
+from plenum.plans import comparisons, decisions, evaluations, orders, texts, votes
 
-_GROUPS = (decisions, votes, evaluations, texts, orders)
+_GROUPS = (decisions, votes, evaluations, texts, orders, comparisons)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
