@@ -9,10 +9,13 @@ all batches is compared on the full sets. Verified links form components.
 No bucket is ever gathered or paired off in full:
 1. star round: every member of a bucket is compared with the bucket's smallest entry only. That makes one
    candidate per member and turns groups of near copies into components;
-2. cross round: in buckets that still hold more than one component, the members are cut into blocks and
-   each pair of blocks is compared as matrices in a task of its own, pairs within a component and pairs
-   that an earlier band has compared are left out, and only survivors leave the task. So no pair of
-   different components goes unseen, and no link is lost but by the banding and `miss`.
+2. cross rounds: in buckets that still hold more than one component, the members are cut into blocks and
+   each pair of blocks is a unit of work of bounded size. A first pass over the signatures tells which
+   members have a plausible partner in another component; a second one, over those members only, checks
+   plausible pairs on the full sets, skips pairs that a link found on the way has joined, and passes on
+   the links that join components, fewer than the unit has members. Pairs that an earlier band or the
+   star round has compared are left out. So no pair of different components goes unseen, no link is lost
+   but by the banding and `miss`, and the rows passed on grow with the members, not with their pairs.
 With 32 bands of 5 rows, a pair of similarity 0.85 shares no band with probability 4e-7 (0.8: 3e-6).
 
 Defined cases
@@ -30,7 +33,6 @@ import hashlib
 from math import lgamma
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +44,7 @@ from plenum.llm.shingles import shingle_set
 WIDTH, BANDS, ROWS, BATCH = 5, 32, 5, 32
 PLACES = BANDS * ROWS
 MISS = 1e-6
-BLOCK = 256
+BLOCK = 512
 #: Documents (24 bytes each) whose texts are fetched by a broadcast lookup; beyond that by a shuffled join.
 BROADCAST_DOCS = 500_000
 
@@ -118,10 +120,10 @@ def sketches(docs: DataFrame, id_col: str, text: str, width: int = WIDTH) -> Dat
 
 
 def _buckets(entries: DataFrame) -> DataFrame:
-    """(band, key): the buckets of each entry."""
+    """(band, nth, key): the buckets of each entry, and which band each belongs to."""
     step = ROWS * 4
-    band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("sig", i * step + 1, F.lit(step)))))
-    return entries.select(band.alias("band"), "key")
+    of = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.struct(F.xxhash64(i, F.substring("sig", i * step + 1, F.lit(step))).alias("band"), i.alias("nth")))
+    return entries.select(F.explode(of).alias("x"), "key").select("x.band", "x.nth", "key")
 
 
 def _pruned(pairs: DataFrame, entries: DataFrame, need: np.ndarray) -> DataFrame:
@@ -158,9 +160,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _sets(docs: DataFrame, entries: DataFrame, pairs: DataFrame, id_col: str, text: str, width: int, tag: str) -> DataFrame:
-    """(key, items): the full sets of the entries in `pairs`, made anew from one document of each."""
-    keys = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
+def _sets(docs: DataFrame, entries: DataFrame, keys: DataFrame, id_col: str, text: str, width: int, tag: str) -> DataFrame:
+    """(key, items): the full sets of the entries in `keys` (column k), made anew from one document of each."""
     wanted = stash(entries.join(keys, F.col("key") == F.col("k"), "left_semi").select("row.th", "row.id"), tag)
     body = text_or_empty(text)
     rows = docs.select(F.col(id_col).alias("__i"), F.xxhash64(body).alias("__t"), body.cast("binary").alias("text"))
@@ -179,37 +180,117 @@ def _sets(docs: DataFrame, entries: DataFrame, pairs: DataFrame, id_col: str, te
     return stash(made.groupBy("key").agg(F.first("items").alias("items")), tag + "-sets")
 
 
-def _cross(buckets: DataFrame, roots: DataFrame, entries: DataFrame, need: np.ndarray) -> DataFrame:
-    """Plausible pairs between components that share a bucket."""
-    members = buckets.join(roots, F.col("key") == F.col("node"), "left").select("band", "key", F.coalesce("root", "key").alias("root"))
-    members = stash(members, "near-members")
-    mixed = members.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
-    mixed = stash(mixed.select(F.col("band").alias("mb"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "near-mixed")
-    left = members.join(mixed, F.col("band") == F.col("mb")).select("band", "key", "root", "blocks")
+def _units(members: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (band, i, j, own, ...) dealt so that each pair of blocks of a bucket meets in one run of sorted rows.
+
+    `members` has band, key, root; buckets with a single component are left out.
+    """
+    sizes = members.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("key").alias("pivot"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
+    sizes = stash(sizes.select(F.col("band").alias("mb"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "near-mixed")
+    left = members.join(sizes, F.col("band") == F.col("mb")).drop("mb")
     own = F.pmod(F.xxhash64("key", "band"), F.col("blocks")).cast("int")
-    # A member of block i meets the blocks from 0 to the last: tasks (i, j) with i <= j.
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = left.withColumn("own", own).withColumn("other", other)
-    dealt = dealt.select("band", "key", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    dealt = dealt.join(entries.select(F.col("key").alias("ek"), "sig"), F.col("key") == F.col("ek")).select("band", "i", "j", "own", "key", "root", "sig")
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
-        rows = rows.sort_values("key", ignore_index=True)
-        sigs = _signatures(rows["sig"].tolist())
-        roots, own = rows["root"].to_numpy(), rows["own"].to_numpy()
-        first, second = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        out = []
-        for x in first:
-            ys = second[second > x] if i == j else second
-            ys = ys[roots[ys] != roots[x]]
-            if not len(ys):
-                continue
-            alive = ys[plausible(np.broadcast_to(sigs[x], (len(ys), PLACES)), sigs[ys], need)]
-            out += [(min(rows["key"][x], rows["key"][y]), max(rows["key"][x], rows["key"][y])) for y in alive]
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    return dealt.groupBy("band", "i", "j").applyInPandas(run, "a binary, b binary").distinct()
+    # A member of block i meets all blocks: units (i, j) with i <= j.
+    dealt = left.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", *columns)
+
+
+def _sorted_units(dealt: DataFrame) -> DataFrame:
+    return dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "key")
+
+
+def _runs(batches):
+    """Tables of whole units from batches of rows sorted by (band, i, j); a unit has at most two blocks of rows."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows]).combine_chunks()
+        marks = [rows.column(c).to_numpy() for c in ("band", "i", "j")]
+        cuts = np.flatnonzero(np.logical_or.reduce([m[1:] != m[:-1] for m in marks])) + 1
+        for start, end in zip(np.append(0, cuts[:-1]) if len(cuts) else [], cuts, strict=True):
+            yield rows.slice(int(start), int(end - start))
+        rest = rows.slice(int(cuts[-1]) if len(cuts) else 0)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _open_pairs(unit: pa.Table, sigs: np.ndarray, need: np.ndarray):
+    """Plausible pairs (x, y) of rows of a unit that only this unit is to look at, a few rows at a time."""
+    i, j, nth = (int(unit.column(c)[0].as_py()) for c in ("i", "j", "nth"))
+    _, roots = np.unique(np.array(unit.column("root").to_pylist(), object), return_inverse=True)
+    own = unit.column("own").to_numpy()
+    first, second = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    bands = sigs.reshape(len(sigs), BANDS, ROWS)
+    step = max(1, 60_000 // max(1, len(second)))
+    for at in range(0, len(first), step):
+        x, y = (m.ravel() for m in np.meshgrid(first[at : at + step], second, indexing="ij"))
+        apart = (roots[x] != roots[y]) & ((x < y) if i == j else True)
+        x, y = x[apart], y[apart]
+        alive = plausible(sigs[x], sigs[y], need)
+        x, y = x[alive], y[alive]
+        if nth and len(x):
+            fresh = ~(bands[x, :nth] == bands[y, :nth]).all(axis=2).any(axis=1)
+            x, y = x[fresh], y[fresh]
+        yield x, y
+
+
+def _partnered(crowded: DataFrame, roots: DataFrame, entries: DataFrame, need: np.ndarray) -> DataFrame:
+    """(band, nth, key, root): bucket members with a plausible partner in another component."""
+    members = crowded.join(roots, F.col("key") == F.col("node"), "left").select("band", "nth", "key", F.col("pivot"), F.coalesce("root", "key").alias("root"))
+    # The star round has compared the pivots with all members of their buckets.
+    members = stash(members.where("key <> pivot").drop("pivot"), "near-members")
+    dealt = _units(members, ["nth", "key", "root"])
+    dealt = dealt.join(entries.select(F.col("key").alias("ek"), "sig"), F.col("key") == F.col("ek")).drop("ek")
+
+    def run(batches):
+        for unit in _runs(batches):
+            sigs = _signatures(unit.column("sig").to_pylist())
+            found = [np.unique(np.concatenate(p)) for p in _open_pairs(unit, sigs, need)]
+            rows = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+            if len(rows):
+                yield from unit.take(pa.array(rows)).select(["band", "nth", "key", "root"]).combine_chunks().to_batches()
+
+    return _sorted_units(dealt).mapInArrow(run, "band long, nth int, key binary, root binary").distinct()
+
+
+def _joining_links(members: DataFrame, entries: DataFrame, sets: DataFrame, need: np.ndarray, percent: int) -> DataFrame:
+    """Links (a, b) between components, checked on full sets, enough to join all that such links join."""
+    dealt = _units(members, ["nth", "key", "root"])
+    dealt = dealt.join(entries.select(F.col("key").alias("ek"), "sig"), F.col("key") == F.col("ek")).drop("ek")
+    dealt = dealt.join(sets.select(F.col("key").alias("sk"), "items"), F.col("key") == F.col("sk")).drop("sk")
+
+    def run(batches):
+        for unit in _runs(batches):
+            sigs = _signatures(unit.column("sig").to_pylist())
+            items = [np.frombuffer(x.as_py(), "<u8") for x in unit.column("items")]
+            keys = unit.column("key").to_pylist()
+            _, parent = np.unique(np.array(unit.column("root").to_pylist(), object), return_inverse=True)
+            of, parent = parent.tolist(), list(range(len(keys)))
+            out = []
+
+            def top(c):
+                while parent[c] != c:
+                    parent[c] = parent[parent[c]]
+                    c = parent[c]
+                return c
+
+            for xs, ys in _open_pairs(unit, sigs, need):
+                closest = np.argsort(-(sigs[xs] == sigs[ys]).sum(axis=1), kind="stable")
+                for x, y in zip(xs[closest].tolist(), ys[closest].tolist(), strict=True):
+                    p, q = top(of[x]), top(of[y])
+                    if p == q:
+                        continue
+                    a, b = items[x], items[y]
+                    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+                        continue
+                    common = len(np.intersect1d(a, b, assume_unique=True))
+                    if 100 * common >= percent * (len(a) + len(b) - common):
+                        parent[max(p, q)] = min(p, q)
+                        out.append(sorted((keys[x], keys[y])))
+            if out:
+                a, b = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return _sorted_units(dealt).mapInArrow(run, "a binary, b binary")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80, width: int = WIDTH, miss: float = MISS) -> DataFrame:
@@ -221,13 +302,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
     buckets = _buckets(entries)
     pivots = buckets.groupBy("band").agg(F.min("key").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
     pivots = stash(pivots.select(F.col("band").alias("pb"), "pivot"), "near-pivots")
-    crowded = stash(buckets.join(pivots, F.col("band") == F.col("pb")).select("band", "key", "pivot"), "near-buckets")
+    crowded = stash(buckets.join(pivots, F.col("band") == F.col("pb")).select("band", "nth", "key", "pivot"), "near-buckets")
     star = stash(_pruned(crowded.where("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct(), entries, need), "near-star")
-    links = stash(_verified(star, _sets(docs, entries, star, id_col, text, width, "near-star-docs"), percent), "near-links")
-    roots = components(links)
-    more = _cross(crowded.select("band", "key"), roots, entries, need)
-    more = stash(more.join(star.select(F.col("a").alias("ta"), F.col("b").alias("tb")), (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti"), "near-cross")
-    links = stash(links.unionByName(_verified(more, _sets(docs, entries, more, id_col, text, width, "near-cross-docs"), percent)), "near-links")
+    ends = star.select(F.col("a").alias("k")).unionByName(star.select(F.col("b").alias("k"))).distinct()
+    links = stash(_verified(star, _sets(docs, entries, ends, id_col, text, width, "near-star-docs"), percent), "near-links")
+    members = stash(_partnered(crowded, components(links), entries, need), "near-partnered")
+    sets = _sets(docs, entries, members.select(F.col("key").alias("k")).distinct(), id_col, text, width, "near-cross-docs")
+    links = stash(links.unionByName(_joining_links(members, entries, sets, need, percent)), "near-links")
     roots = stash(components(links), "near-roots")
     placed = entries.join(roots, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))
     firsts = placed.groupBy("root").agg(F.min("least").alias("first")).select(F.col("root").alias("r"), "first")
