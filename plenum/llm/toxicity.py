@@ -70,17 +70,22 @@ def terms_of(text: str) -> set[str]:
     return out
 
 
+def _any_of(starts):
+    """Whether a word begins with one of the given strings."""
+    found = "|".join(map(re.escape, sorted(starts)))
+    return re.compile(found).match if found else (lambda word: None)
+
+
 class Lexicon:
     """A trie of terms; whole words end in $."""
 
     def __init__(self, terms: list[str], edits: int = EDITS) -> None:
         self.terms, self.edits = sorted(terms), edits
         self.whole = {t[:-1] for t in terms if t.endswith("$")}
-        self.starts = {t for t in terms if not t.endswith("$")}
-        self.start_sizes = sorted({len(t) for t in self.starts})
+        self.starts = _any_of(t for t in terms if not t.endswith("$"))
         self.root: dict = {}
         # If a term of d + 1 parts is within d edits of a word, one part stands unchanged within d places of its own.
-        self.parts: dict[str, set[int]] = {}
+        parts: dict[int, set[str]] = {}
         for term in self.terms:
             letters = term.rstrip("$")
             if self.tolerance(term) == 0:
@@ -91,22 +96,19 @@ class Lexicon:
             node["$" if term.endswith("$") else "^"] = term
             cuts = [round(k * len(letters) / (edits + 1)) for k in range(edits + 2)]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                self.parts.setdefault(letters[a:b], set()).update(range(a - edits, a + edits + 1))
-        self.part_sizes = sorted({len(p) for p in self.parts})
+                parts.setdefault(a, set()).add(letters[a:b])
+        near = [f".{{{max(0, a - edits)},{a + edits}}}(?:{'|'.join(map(re.escape, sorted(p)))})" for a, p in sorted(parts.items())]
+        self.may = re.compile("|".join(near), re.DOTALL).match
 
     def tolerance(self, term: str) -> int:
         """Edits allowed: none for short terms, where one would turn many other words into hits."""
         return self.edits if len(term.rstrip("$")) >= (5 if term.endswith("$") else 7) else 0
 
-    def _may(self, word: str) -> bool:
-        parts = self.parts
-        return any(i in parts.get(word[i : i + k], ()) for k in self.part_sizes for i in range(len(word) - k + 1))
-
     def nearest(self, word: str) -> int | None:
         """The fewest edits from the word to a term, if within the term's tolerance."""
-        if word in self.whole or any(word[:k] in self.starts for k in self.start_sizes if k <= len(word)):
+        if word in self.whole or self.starts(word):
             return 0
-        if not self.root or not self._may(word):
+        if not self.root or not self.may(word):
             return None
         best: int | None = None
         size, most = len(word), self.edits
