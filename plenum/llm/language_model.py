@@ -11,7 +11,9 @@ The automaton of a large corpus fits no single machine, so each block of texts g
    ranges of the hash space (a frequent pair is one entry per block, so no range is hot);
 2. each range adds up the counts and answers every block in the order in which it asked, without keys;
 3. each block, cut again from the same rows, builds its part of the automaton and traverses its texts.
-All of the corpus is counted; there is no cutoff. Words and pairs are told apart by 64-bit hashes.
+The rows are read twice, as the same blocks; a block whose answers don't fit its second reading fails
+the job rather than give wrong scores (write such an input to a table first). All of the corpus is
+counted; there is no cutoff. Words and pairs are told apart by 64-bit hashes.
 
 Defined cases
 - null and empty texts: one token, the end. Null ids count as the text "" for the hold-out rule.
