@@ -69,7 +69,7 @@ def adjacent_ratio(spark, sf_dir):
 
 def negation_lookback(spark, sf_dir):
     """A token counts unless one of the two before it negates it."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.slice(F.split(F.lower("text"), " "), 1, 200).alias("t"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.split(F.lower("text"), " ").alias("t"))
     hits = F.filter(F.transform("t", lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: (s["x"] == "the") & ~F.exists(F.slice(F.col("t"), F.greatest(s["i"] - 1, F.lit(1)), F.least(s["i"], F.lit(2))), lambda p: p.isin("of", "and")))
     return d.select("doc_id", F.size(hits).alias("n"))
 
