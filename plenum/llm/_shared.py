@@ -2,38 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from plenum.operators.running import cumulate, shared_dir, stash  # noqa: F401
+
 #: ASCII white space, and its complement, as the contracts of the operators use it.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-_OWN: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="plenum-shared-")
-        spark.sparkContext.setCheckpointDir(_OWN[app])
-    return _OWN[app]
-
-
-def stash(df: DataFrame, tag: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/plenum/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
 
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -52,41 +29,3 @@ def uniform(*columns: Column) -> Column:
     """A repeatable number in [0, 1) from the given columns, the same in Spark and in SQL engines with md5."""
     digest = F.md5(F.concat_ws("|", *[c.cast("string") for c in columns]).cast("binary"))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-
-
-def cumulate(df: DataFrame, group: list[Column], order: list[Column], amounts: dict[str, Column], tag: str) -> DataFrame:
-    """Running totals per group over all rows in a given order, without a group ever meeting in one task.
-
-    The rows are range-partitioned by (group, order) and written; each partition sums its own part, the
-    sums of the parts (one row per part and group) give every part its start. Adds to the columns of `df`,
-    for each name in `amounts`, `<name>_before` (exclusive running total) and `<name>_all` (the group's
-    total). `order` must be a total order for repeatable results. Group columns may be null.
-    """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    keys = [f"__g{i}" for i in range(len(group))]
-    laid = df.select("*", *[g.alias(k) for g, k in zip(group, keys, strict=True)], *[a.alias(f"__a_{n}") for n, a in amounts.items()])
-    ordered = [F.col(k).asc_nulls_last() for k in keys] + order
-    laid = laid.repartitionByRange(parts, *ordered).sortWithinPartitions(*ordered)
-    laid = laid.withColumn("__pos", F.monotonically_increasing_id())
-    laid = stash(laid.withColumn("__part", F.shiftright("__pos", 33).cast("int")), tag)
-    from pyspark.sql import Window
-
-    within = Window.partitionBy("__part", *keys).orderBy("__pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = [F.sum(f"__a_{n}").alias(f"__s_{n}") for n in amounts]
-    by_part = laid.groupBy("__part", *keys).agg(*sums)
-    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    starts = by_part.select(
-        F.col("__part").alias("__sp"),
-        *[F.col(k).alias(f"__s{k}") for k in keys],
-        *[F.coalesce(F.sum(f"__s_{n}").over(before), F.lit(0)).alias(f"__b_{n}") for n in amounts],
-        *[F.sum(f"__s_{n}").over(whole).alias(f"__t_{n}") for n in amounts],
-    )
-    running = laid.select("*", *[(F.sum(f"__a_{n}").over(within) - F.col(f"__a_{n}")).alias(f"__r_{n}") for n in amounts])
-    on = F.col("__part") == F.col("__sp")
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"__s{k}"))
-    joined = running.join(starts, on, "left")
-    kept = [F.col(c) for c in df.columns]
-    return joined.select(*kept, *[(F.col(f"__r_{n}") + F.col(f"__b_{n}")).alias(f"{n}_before") for n in amounts], *[F.col(f"__t_{n}").alias(f"{n}_all") for n in amounts])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from plenum.operators import sequences
+from plenum.operators import running, sequences
 from plenum.session import table
 
 
@@ -56,9 +56,9 @@ def stratified_sample(spark, sf_dir):
 
 def hard_first_round_robin(spark, sf_dir):
     """Hardest first, in turn over the classes."""
-    d = table(spark, sf_dir, "orders").where("o_custkey % 10 = 0")
-    rn = F.row_number().over(Window.partitionBy("o_orderpriority").orderBy(F.desc("o_totalprice"), "o_orderkey"))
-    return d.select("o_orderkey", "o_orderpriority", rn.alias("turn"))
+    d = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    placed = running.cumulate(d, [F.col("o_orderpriority")], [F.desc("o_totalprice"), F.col("o_orderkey")], {"turn": F.lit(1)}, "turns")
+    return placed.select("o_orderkey", "o_orderpriority", (F.col("turn_before") + 1).cast("int").alias("turn"))
 
 
 def adjacent_ratio(spark, sf_dir):

@@ -21,3 +21,16 @@ def test_negation_lookback_reads_long_documents(spark, tmp_path):
         return sum(w == "the" and not {"of", "and"} & set(t[max(0, k - 2) : k]) for k, w in enumerate(t))
 
     assert dict(QUERIES["negation_lookback"](spark, sf).collect()) == {k: brute(t) for k, t in enumerate(texts)}
+
+
+def test_hard_first_round_robin_gives_every_order_its_turn(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(k, rng.randrange(100), rng.choice(["1-URGENT", "1-URGENT", "1-URGENT", "2-HIGH", None]), rng.choice([None, 1.5, 2.5, rng.random() * 9])) for k in range(3_000)]
+    sf = written(spark, tmp_path, orders=(rows, "o_orderkey long, o_custkey long, o_orderpriority string, o_totalprice double"))
+    want, turn = {}, {}
+    for k, _, priority, price in sorted(rows, key=lambda r: (r[3] is None, -(r[3] or 0), r[0])):
+        turn[priority] = turn.get(priority, 0) + 1
+        want[k] = (priority, turn[priority])
+    got = QUERIES["hard_first_round_robin"](spark, sf).collect()
+    assert len(got) == len(rows)
+    assert {r["o_orderkey"]: (r["o_orderpriority"], r["turn"]) for r in got} == want
