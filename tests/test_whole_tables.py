@@ -1,6 +1,7 @@
 """Queries read their whole tables: counted again by plain Python over small written ones."""
 
 import random
+from datetime import datetime, timedelta
 
 from plenum.catalogue import QUERIES
 
@@ -34,3 +35,13 @@ def test_hard_first_round_robin_gives_every_order_its_turn(spark, tmp_path):
     got = QUERIES["hard_first_round_robin"](spark, sf).collect()
     assert len(got) == len(rows)
     assert {r["o_orderkey"]: (r["o_orderpriority"], r["turn"]) for r in got} == want
+
+
+def test_max_gap_midpoint_reads_all_orders(spark, tmp_path):
+    day = lambda n, hour=0: datetime(1996, 1, 1) + timedelta(days=n, hours=hour)
+    schema = "o_orderkey long, o_custkey long, o_orderdate timestamp"
+    group = [(0, 3, day(0)), (1, 100, day(90))]  # customers whose own dates have a gap that the table's have not
+    dense = [*group, *((k + 2, 5, day(k, k % 24)) for k in range(0, 91, 19))]
+    assert QUERIES["max_gap_midpoint"](spark, written(spark, tmp_path / "dense", orders=(dense, schema))).collect() == []
+    planted = [*group, *((k + 2, 5, day(k)) for k in range(0, 91) if not 30 < k < 61), (99, 5, None)]
+    assert [tuple(r) for r in QUERIES["max_gap_midpoint"](spark, written(spark, tmp_path / "planted", orders=(planted, schema))).select("lo", "gap", "midpoint").collect()] == [("1996-01-31", 31, "1996-02-15")]
