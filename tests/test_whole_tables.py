@@ -45,3 +45,11 @@ def test_max_gap_midpoint_reads_all_orders(spark, tmp_path):
     assert QUERIES["max_gap_midpoint"](spark, written(spark, tmp_path / "dense", orders=(dense, schema))).collect() == []
     planted = [*group, *((k + 2, 5, day(k)) for k in range(0, 91) if not 30 < k < 61), (99, 5, None)]
     assert [tuple(r) for r in QUERIES["max_gap_midpoint"](spark, written(spark, tmp_path / "planted", orders=(planted, schema))).select("lo", "gap", "midpoint").collect()] == [("1996-01-31", 31, "1996-02-15")]
+
+
+def test_left_join_pages_keeps_every_order(spark, tmp_path):
+    orders = [(k,) for k in range(1, 41)]
+    lines = [(k, float(q)) for k in range(1, 41) if k % 5 for q in (10, 45, 46, 50)[: k % 4 + 1]]
+    sf = written(spark, tmp_path, orders=(orders, "o_orderkey long"), lineitem=(lines, "l_orderkey long, l_quantity double"))
+    want = {k: sum(key == k and q > 45 for key, q in lines) for (k,) in orders}
+    assert dict(QUERIES["left_join_pages"](spark, sf).collect()) == want
