@@ -4,8 +4,10 @@ Documents with equal texts are linked. All documents start in a shard chosen by
 each linked document moves towards the shard that holds most of its neighbours' bytes, under a quota: a
 shard admits movers only up to its capacity, and of more candidates than that admits an equal share,
 chosen by hash. A group's neighbours are counted through its bytes per shard, so no pairs of documents
-are made. At the end the documents are laid out by (label, group), and the line is cut into pieces of
-equal bytes: shards differ by less than one document, groups stay together save at the few cuts.
+are made. At the end each linked document takes the label that holds most of its group, quotas aside, the
+documents are laid out by (label, group), and the line is cut into pieces of equal bytes: shards differ by
+less than one document, groups stay together save at the few cuts. The cut decides the shard: rounds only
+add to what leads already, so they change no returned row.
 
 Only DataFrame operations are used. Defined cases
 - null text: no bytes, so size 1, and the checksum of the empty text; null and empty texts are linked.
