@@ -40,6 +40,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOGIN = re.compile(r"[^\s/@:]{1,128}:[^\s/@]{1,128}@[A-Za-z0-9.-]{1,253}")
 _IBAN = re.compile(r"[^A-Za-z0-9]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?)(?![A-Za-z0-9])")
+_IBAN_SIZE = {c[:2]: int(c[2:]) for c in "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SE24 SI19 SK24 SM27 TN24 TR26 UA29 VA22 VG24 XK20".split()}
 _NUMBER = re.compile(r"(?:[ \t]*(?:number|no\.?|nr\.?|num\.?|#|:|=)){0,3}[ \t]*([0-9](?:[ -]?[0-9]){5,33})(?![0-9A-Za-z])", re.IGNORECASE)
 _HANDLE = re.compile(r"[A-Za-z][A-Za-z0-9_]{2,29}(?![A-Za-z0-9_@])")
 
@@ -67,6 +68,17 @@ def _mod97(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
 
 
+def _iban_size(found: str) -> int:
+    """Characters of the IBAN that `found` begins with, 0 if none; a capital word may have been taken with it."""
+    ends = [len(found), *[k for k in range(len(found) - 1, 0, -1) if found[k] == " "]]
+    sizes = {end: len(found[:end].replace(" ", "")) for end in ends}
+    # The end that the country asks for comes first, then the farthest.
+    for end in sorted(ends, key=lambda e: (sizes[e] != _IBAN_SIZE.get(found[:2]), -e)):
+        if 15 <= sizes[end] <= 34 and _mod97(found[:end].replace(" ", "")):
+            return end
+    return 0
+
+
 class Finder:
     """Finds spans in one text after another."""
 
@@ -131,9 +143,9 @@ class Finder:
                     spans.append(Span(at, 4, m.end()))
             elif at >= cue_next and (at == 0 or not text[at - 1].isalnum()):
                 m = _IBAN.match(text, last + 1)
-                if m and 15 <= len(code := m.group(1).replace(" ", "")) <= 34 and _mod97(code):
-                    spans.append(Span(m.start(1), 5, m.end(1)))
-                    cue_next = m.end()
+                if m and (size := _iban_size(m.group(1))):
+                    spans.append(Span(m.start(1), 5, m.start(1) + size))
+                    cue_next = m.start(1) + size
                 elif m := _NUMBER.match(text, last + 1):
                     spans.append(Span(m.start(1), 6, m.end(1)))
                     cue_next = m.end()

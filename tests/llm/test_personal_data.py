@@ -50,3 +50,17 @@ def test_added_kinds():
     assert kinds("see https://joe:pw@host.example/x")[0] == "login"
     assert kinds("thanks @someone for it") == ["handle"]
     assert kinds("The account was closed in the town.") == []
+
+
+def test_ibans_end_before_a_capital_word():
+    find, rng = Finder(), random.Random(11)
+    found = lambda text: [text[s.start : s.end] for s in find(text) if KINDS[s.kind] == "iban"]
+    assert found("IBAN: ES91 2100 0418 4502 0005 1332 BIC X") == ["ES91 2100 0418 4502 0005 1332"]
+    for _ in range(2_000):
+        country, size = rng.choice([("ES", 24), ("AT", 20), ("PL", 28), ("BE", 16), ("LC", 32), ("DE", 22), ("MT", 31), ("NO", 15)])
+        body = "".join(rng.choices("0123456789", k=size - 4))
+        code = f"{country}{98 - int(''.join(str(int(c, 36)) for c in body + country + '00')) % 97:02d}{body}"
+        shown = rng.choice([code, " ".join(code[k : k + 4] for k in range(0, size, 4))])
+        tail = rng.choice(["", ".", " ok", " BIC", " EUR 5", " EURO", " BANK AUSTRIA", " BIC GIBA ATWW XXX", " 12", "\nBIC"])
+        assert found(f"IBAN: {shown}{tail}") == [shown], (shown, tail)
+    assert found("IBAN: ES91 2100 0418 4502 0005 1333 BIC X") == []
