@@ -23,7 +23,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -76,11 +77,21 @@ def _any_of(starts):
     return re.compile(found).match if found else (lambda word: None)
 
 
+def _swaps(letters: str) -> list[str]:
+    """The letters with one place blanked, for each place: two strings one substitution apart share one of them."""
+    return [f"{letters[:k]}\0{letters[k + 1 :]}" for k in range(len(letters))]
+
+
 class Lexicon:
-    """A trie of terms; whole words end in $."""
+    """A trie of terms; whole words end in $. Short terms in `loose` admit one substitution."""
 
-    def __init__(self, terms: list[str], edits: int = EDITS) -> None:
+    def __init__(self, terms: list[str], edits: int = EDITS, loose: Iterable[str] = ()) -> None:
         self.terms, self.edits = sorted(terms), edits
+        self.swapped: dict[str, list[str]] = {}
+        for term in sorted(loose):
+            for form in _swaps(term.rstrip("$")):
+                self.swapped.setdefault(form + "$" * term.endswith("$"), []).append(term)
+        self.sizes = sorted({len(t) for t in loose if not t.endswith("$")})
         self.whole = {t[:-1] for t in terms if t.endswith("$")}
         self.starts = _any_of(t for t in terms if not t.endswith("$"))
         self.root: dict = {}
@@ -104,10 +115,20 @@ class Lexicon:
         """Edits allowed: none for short terms, where one would turn many other words into hits."""
         return self.edits if len(term.rstrip("$")) >= (5 if term.endswith("$") else 7) else 0
 
+    def substituted(self, word: str) -> set[str]:
+        """Loose terms that the word is one substitution away from."""
+        if not self.swapped:
+            return set()
+        forms = [form + "$" for form in _swaps(word)] if len(word) == SHORTEST else []
+        forms += [form for k in self.sizes if k <= len(word) for form in _swaps(word[:k])]
+        return {term for form in forms for term in self.swapped.get(form, ())}
+
     def nearest(self, word: str) -> int | None:
         """The fewest edits from the word to a term, if within the term's tolerance."""
         if word in self.whole or self.starts(word):
             return 0
+        if self.substituted(word):
+            return 1
         if not self.root or not self.may(word):
             return None
         best: int | None = None
@@ -135,13 +156,14 @@ class Model:
     terms: list[str]
     weights: list[float]  # intercept first
     plain: float  # the score where there is no lexicon
+    loose: list[str] = field(default_factory=list)  # short terms that admit a substitution
 
 
 class Scorer:
     """Scores one text after another with a model."""
 
     def __init__(self, model: Model, remembered: int = REMEMBERED) -> None:
-        self.model, self.lexicon = model, Lexicon(model.terms)
+        self.model, self.lexicon = model, Lexicon(model.terms, loose=model.loose)
         lexicon = self.lexicon
 
         class Known(dict):
@@ -197,6 +219,9 @@ def choose_terms(counts: list[tuple[str, int, int]], toxic: int, max_terms: int
         if len(t.rstrip("$")) > SHORTEST or t.endswith("$"):
             longer.setdefault(t[:-1], []).append(t)
     closed = {t for t in good if not any(good[x] == good[t] for x in longer.get(t, ()))}
+    # A beginning gives way to what extends it, is as frequent in toxic documents, and is in fewer others.
+    for t in good:
+        closed -= {b for k in range(SHORTEST, len(t)) if (b := t[:k]) in good and good[b][0] == good[t][0] and good[b][1] > good[t][1]}
     kept: set[str] = set()
     for t in sorted(closed, key=lambda t: (len(t.rstrip("$")), t)):
         if not any(t[:k] in kept for k in range(SHORTEST, len(t.rstrip("$")) + (1 if t.endswith("$") else 0))):
@@ -230,6 +255,24 @@ def _training(docs: DataFrame, labels: DataFrame, id_col: str, text: str, max_tr
     return stash(rows.groupBy("i").agg(F.first("y").alias("y"), F.min("text").alias("text")).select("y", "text").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "tox-train")
 
 
+def _loose(train: DataFrame, terms: list[str]) -> list[str]:
+    """Terms too short for edits that no civil training document has a word one substitution away from."""
+    strict = Lexicon(terms)
+    short = [t for t in terms if strict.tolerance(t) == 0]
+
+    def count(batches):
+        lexicon = Lexicon(terms, loose=short)
+        for batch in batches:
+            met: set[str] = set()
+            for word in {bare(w) for y, t in zip(batch.column(0), batch.column(1), strict=True) if not y.as_py() for w in set(t.as_py().split())}:
+                if word not in lexicon.whole and not lexicon.starts(word):
+                    met |= lexicon.substituted(word)
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(met), pa.string())], ["term"])
+
+    met = {r["term"] for r in train.mapInArrow(count, "term string").distinct().collect()}  # at most the short terms
+    return [t for t in short if t not in met]
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS) -> Model:
     """The model; labels has id_col and toxic (0/1). Only rows that `trained_on` picks are used."""
     train = _training(docs, labels, id_col, text, max_train)
@@ -254,7 +297,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     terms = choose_terms([(r["term"], r["p"], r["n"]) for r in rows], toxic, max_terms)
     if not terms:
         return Model([], [], plain)
-    bare_model = Model(terms, [0.0] * 6, plain)
+    loose = _loose(train, terms)
+    bare_model = Model(terms, [0.0] * 6, plain, loose)
 
     def measure(batches):
         scorer = Scorer(bare_model)
@@ -265,7 +309,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     seen = train.mapInArrow(measure, "y int, x array<double>").collect()  # at most max_train short rows
     seen = sorted((r["y"], *r["x"]) for r in seen)
     data = np.array(seen, float)
-    return Model(terms, fit_weights(data[:, 1:], data[:, 0]), plain)
+    return Model(terms, fit_weights(data[:, 1:], data[:, 0]), plain, loose)
 
 
 def _with_scores(rows: DataFrame, at: int, model: Model, name: str) -> DataFrame:
