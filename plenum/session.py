@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,12 +32,23 @@ def build_session(app: str = "plenum", master: str | None = None, **extra: str)
     return ship(builder.getOrCreate())
 
 
+#: Rows that a Python worker gets at once, so that a batch of long texts stays small; a session's own setting comes first.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+_SHIPPED: set[str] = set()
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from the folder it was loaded from."""
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if ROOT not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+    """Send this package to the Python workers as an archive, through Spark's own file distribution."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        archive = Path(tempfile.mkdtemp(prefix="plenum-code-")) / "plenum-code.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as packed:
+            for path in sorted(Path(ROOT, "plenum").rglob("*.py")):
+                packed.write(path, path.relative_to(ROOT))
+        context.addPyFile(str(archive))
+        if not context.getConf().contains(BATCH_ROWS[0]):
+            spark.conf.set(*BATCH_ROWS)
+        _SHIPPED.add(context.applicationId)
     return spark
 
 
