@@ -5,7 +5,8 @@ prefix of what is left is replaced; where none fits, one character passes throug
 result remembers the source byte that it comes from, so each piece projects to a span of original bytes.
 The model's BPE merges then cut the normalised text into pieces. A merge can only join characters that
 some piece holds side by side; where no piece does (before a space mark that follows another character,
-and around line ends), the text is cut first, and each distinct segment is merged once per task.
+and before line ends), a long text is parted first, so that merging needs memory for one part at a time.
+Nothing is remembered from text to text.
 
 Defined cases
 - null and empty texts: no pieces, empty decoded text. Empty table: empty result.
@@ -16,21 +17,23 @@ Defined cases
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import struct
-from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plenum.llm._shared import text_or_empty
+from plenum.llm._shared import named, text_or_empty
 
 MARK = "▁"
-#: Distinct segments that one task remembers; when full, the memory starts anew (results don't depend on it).
-REMEMBERED = 600_000
+#: Characters after which a text is parted at the next place that no piece spans.
+PART = 4096
 
 
 def default_model() -> str:
@@ -39,6 +42,13 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _distributed(spark: SparkSession, model_path: str | None) -> str:
+    """The model's file sent to every executor; the name that it goes by there."""
+    path = model_path or default_model()
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
 class CharMap:
     """A compiled character map: a double-array trie of UTF-8 keys, then zero-ended replacements."""
 
@@ -141,7 +151,6 @@ def _char_width(lead: int) -> int:
 @dataclass
 class Encoded:
     ids: np.ndarray
-    joined: str
     begins: np.ndarray
     ends: np.ndarray
 
@@ -149,7 +158,7 @@ class Encoded:
 class PieceCodec:
     """Encodes and decodes with one model file."""
 
-    def __init__(self, model_path: str, remembered: int = REMEMBERED) -> None:
+    def __init__(self, model_path: str, part: int = PART) -> None:
         from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
         proto = sentencepiece_model_pb2.ModelProto()
@@ -163,30 +172,33 @@ class PieceCodec:
         pieces = [p for p in proto.pieces if p.type != 6]
         free = proto.trainer_spec.model_type == 2 and not any(p.type == 4 for p in pieces) and not proto.trainer_spec.treat_whitespace_as_suffix
         cuts = free and not any(re.search(f"[^{MARK}]{MARK}", p.piece) or ("\n" in p.piece and len(p.piece) > 1) for p in pieces)
-        self.segments = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+").findall if cuts else (lambda text: [text] if text else [])
+        self.cut = re.compile(f"\n|(?<=[^{MARK}]){MARK}").search if cuts else (lambda text, at: None)
+        self.part = part
         self.width = np.array([1 if p.type == 6 else len(p.piece.encode()) for p in proto.pieces], np.int64)
         self.unknown = proto.trainer_spec.unk_id
-        self.remembered, self.known = remembered, {}
+        self.names = [str(k) for k in range(len(proto.pieces))]
 
-    def _learn(self, segments: list[str]) -> None:
-        if len(self.known) + len(segments) > self.remembered:
-            self.known.clear()
-        for segment, ids in zip(segments, self.merger.encode(segments, num_threads=1), strict=True):
-            self.known[segment] = (array("i", ids).tobytes(), ",".join(map(str, ids)))
+    def parts(self, normal: str) -> Iterator[str]:
+        """A normalised text in parts that merge by themselves."""
+        at = 0
+        while len(normal) - at > self.part and (edge := self.cut(normal, at + self.part)):
+            yield normal[at : edge.start()]
+            at = edge.start()
+        yield normal[at:]
 
     def encode(self, text: str | None) -> Encoded:
         normal, source = self.normalize(text or "")
-        segments = self.segments(normal)
-        found = list(map(self.known.get, segments))
-        if None in found:
-            self._learn(list({s for s, x in zip(segments, found, strict=True) if x is None}))
-            found = [x or self.known[s] for s, x in zip(segments, found, strict=True)]
-        ids = np.frombuffer(b"".join([x[0] for x in found]), np.int32)
+        parts = list(self.parts(normal))
+        ids = np.concatenate([np.asarray(self.merger.encode_as_numpy(x), np.int32) for x in parts])
         widths = self.width[ids]
         if self.unknown in ids:  # an unknown piece stands for what no other piece covers
-            widths = np.array([len(p.surface.encode()) for s in segments for p in self.merger.encode(s, return_type="proto").pieces], np.int64)
+            widths = np.array([len(p.surface.encode()) for x in parts for p in self.merger.encode(x, return_type="proto").pieces], np.int64)
         edges = np.cumsum(widths)
-        return Encoded(ids, ",".join([x[1] for x in found]), source[edges - widths], source[edges])
+        return Encoded(ids, source[edges - widths], source[edges])
+
+    def joined(self, ids: np.ndarray) -> str:
+        """Decimal ids joined by commas."""
+        return ",".join(map(self.names.__getitem__, ids.tolist()))
 
     def decode(self, ids) -> str:
         return self.whole.decode(list(map(int, ids)) if not isinstance(ids, np.ndarray) else ids.tolist())
@@ -195,21 +207,21 @@ class PieceCodec:
 _CODECS: dict[str, PieceCodec] = {}
 
 
-def codec(model_path: str) -> PieceCodec:
-    """One codec for each model and worker process."""
-    if model_path not in _CODECS:
-        _CODECS[model_path] = PieceCodec(model_path)
-    return _CODECS[model_path]
+def codec(name: str) -> PieceCodec:
+    """One codec, about 10 MB, for each distributed model and worker process."""
+    if name not in _CODECS:
+        _CODECS[name] = PieceCodec(SparkFiles.get(name))
+    return _CODECS[name]
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", model_path: str | None = None) -> DataFrame:
     """id_col, ids, begins, ends: the pieces of each text and the original bytes that each stands for."""
-    path = model_path or default_model()
-    slim = docs.select(id_col, text_or_empty(text).alias("text"))
+    model = _distributed(docs.sparkSession, model_path)
+    slim = docs.select(named(id_col), text_or_empty(text).alias("text"))
     kind = slim.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        use = codec(path)
+        use = codec(model)
         for batch in batches:
             done = [use.encode(t.as_py()) for t in batch.column(1)]
             columns = [[e.ids for e in done], [e.begins for e in done], [e.ends for e in done]]
@@ -221,12 +233,12 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", model_pa
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids: str = "ids", model_path: str | None = None) -> DataFrame:
     """id_col, text: what the model decodes each array of ids to (null: empty)."""
-    path = model_path or default_model()
-    slim = encoded.select(id_col, F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("ids"))
+    model = _distributed(encoded.sparkSession, model_path)
+    slim = encoded.select(named(id_col), F.coalesce(named(ids), F.array().cast("array<int>")).alias("ids"))
     kind = slim.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        use = codec(path)
+        use = codec(model)
         for batch in batches:
             texts = [use.decode(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [id_col, "text"])
@@ -239,8 +251,8 @@ def piece_digests(docs: DataFrame, id_col: str = "doc_id", text: str = "text", m
 
     The same codec as `encode` and `decode`, without sending the arrays back to the JVM.
     """
-    path = model_path or default_model()
-    slim = docs.select(id_col, text_or_empty(text).alias("text"))
+    model = _distributed(docs.sparkSession, model_path)
+    slim = docs.select(named(id_col), text_or_empty(text).alias("text"))
     kind = slim.schema[id_col].dataType.simpleString()
     names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"]
 
@@ -248,13 +260,13 @@ def piece_digests(docs: DataFrame, id_col: str = "doc_id", text: str = "text", m
         return hashlib.sha256(data).hexdigest()
 
     def run(batches):
-        use = codec(path)
+        use = codec(model)
         for batch in batches:
             rows = []
             for item in batch.column(1):
                 e = use.encode(item.as_py())
                 spans = np.stack([e.begins, e.ends]).astype("<i8").tobytes()
-                rows.append((len(e.ids), sha(e.joined.encode()), sha(use.decode(e.ids).encode("utf-8", "replace")), sha(spans)))
+                rows.append((len(e.ids), sha(use.joined(e.ids).encode()), sha(use.decode(e.ids).encode("utf-8", "replace")), sha(spans)))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
             arrays = [pa.array(columns[0], pa.int64()), *[pa.array(c, pa.string()) for c in columns[1:]]]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names)

@@ -6,20 +6,6 @@ import numpy as np
 import xxhash
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_LIMIT = 400_000
-
-
-class _WordHashes(dict):
-    """Hash of each word met; forgets all when it holds too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_WORDS = _WordHashes()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -34,7 +20,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def word_hashes(text: bytes) -> np.ndarray:
     """Hashes of the words (ASCII white space parts them; A-Z count as a-z) of a UTF-8 text."""
     words = text.lower().split()
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def shingle_set(text: bytes, width: int = 5) -> np.ndarray:
