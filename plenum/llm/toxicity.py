@@ -7,8 +7,10 @@ Context: a window of words around each hit tells quotation and report (a hit cou
 (it counts more). A logistic model over the weighed hits, fitted on training documents, gives the score.
 Labels, language, source and id are never inputs of a score.
 
-Bounds (parameters): at most `max_train` labelled training documents, the first by a hash of their id,
-are read for learning, and at most `max_terms` terms are kept. Every document is scored whole.
+Bound (a parameter): at most `max_train` labelled training documents, the first by a hash of their id, are
+read for learning. Terms are whole words of at least four letters and beginnings of four to eight letters; each
+must be in one of fifty toxic training documents, so their number follows from the sample. Every document is
+scored whole.
 
 Defined cases
 - null and empty texts: no hits, the score of a text without hits. Empty table: empty result.
@@ -31,10 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm._shared import stash, text_or_empty
+from plenum.llm._shared import named, packed, stash, text_or_empty, unpacked
 
 MAX_TRAIN = 12_000
-MAX_TERMS = 2_000
 THRESHOLD = 0.3
 #: Share of a term's training documents that must be toxic.
 PRECISION = 0.6
@@ -42,7 +43,8 @@ WINDOW = 6
 EDITS = 1
 SHORTEST = 4
 LONGEST_PREFIX = 8
-REMEMBERED = 400_000
+#: Words, about 150 bytes each, that a task remembers; results don't depend on it.
+REMEMBERED = 60_000
 
 # Marks and words that tell quotation, report and address.
 QUOTES = "\"“”„«»‘’‹›"
@@ -58,14 +60,14 @@ def trained_on(id_col: Column) -> Column:
 
 def bare(word: str) -> str:
     """A word in lower case without marks around it."""
-    return _EDGES.sub("", word).lower()
+    return word.lower() if word.isalpha() else _EDGES.sub("", word).lower()
 
 
 def terms_of(text: str) -> set[str]:
     """Candidate terms: whole words (ending in $) and beginnings of words."""
     out: set[str] = set()
     for word in {bare(w) for w in set(text.split())}:
-        if SHORTEST <= len(word) <= 24:
+        if len(word) >= SHORTEST:
             out.add(word + "$")
         out.update(word[:k] for k in range(SHORTEST, min(len(word), LONGEST_PREFIX) + 1))
     return out
@@ -110,6 +112,10 @@ class Lexicon:
                 parts.setdefault(a, set()).add(letters[a:b])
         near = [f".{{{max(0, a - edits)},{a + edits}}}(?:{'|'.join(map(re.escape, sorted(p)))})" for a, p in sorted(parts.items())]
         self.may = re.compile("|".join(near), re.DOTALL).match
+        # What tells most words at once: no start of a term, no loose term but for one letter, no part of a term.
+        forms = ["".join("." if c == "\0" else r"\Z" if c == "$" else re.escape(c) for c in form) for form in sorted(self.swapped)]
+        starts = [re.escape(t) for t in self.terms if not t.endswith("$")]
+        self.near = None if not self.terms else re.compile("|".join([*starts, *forms, *near]), re.DOTALL).match
 
     def tolerance(self, term: str) -> int:
         """Edits allowed: none for short terms, where one would turn many other words into hits."""
@@ -125,7 +131,11 @@ class Lexicon:
 
     def nearest(self, word: str) -> int | None:
         """The fewest edits from the word to a term, if within the term's tolerance."""
-        if word in self.whole or self.starts(word):
+        if word in self.whole:
+            return 0
+        if self.near is None or not self.near(word):
+            return None
+        if self.starts(word):
             return 0
         if self.substituted(word):
             return 1
@@ -209,7 +219,7 @@ class Scorer:
         return 1.0 / (1.0 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def choose_terms(counts: list[tuple[str, int, int]], toxic: int, max_terms: int = MAX_TERMS) -> list[str]:
+def choose_terms(counts: list[tuple[str, int, int]], toxic: int) -> list[str]:
     """Terms that tell toxic documents, from (term, toxic documents, other documents)."""
     least = max(5, math.ceil(0.02 * toxic))
     good = {t: (p, n) for t, p, n in counts if p >= least and p / (p + n + 1) >= PRECISION}
@@ -226,7 +236,7 @@ def choose_terms(counts: list[tuple[str, int, int]], toxic: int, max_terms: int
     for t in sorted(closed, key=lambda t: (len(t.rstrip("$")), t)):
         if not any(t[:k] in kept for k in range(SHORTEST, len(t.rstrip("$")) + (1 if t.endswith("$") else 0))):
             kept.add(t)
-    return sorted(sorted(kept, key=lambda t: (-good[t][0], t))[:max_terms])
+    return sorted(kept)
 
 
 def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> list[float]:
@@ -250,7 +260,7 @@ def _training(docs: DataFrame, labels: DataFrame, id_col: str, text: str, max_tr
     marked = labels.where(trained_on(F.col(id_col)) & F.col("toxic").isNotNull() & F.col(id_col).isNotNull())
     marked = marked.groupBy(F.col(id_col).alias("l")).agg(F.max("toxic").cast("int").alias("y"))
     chosen = stash(marked.orderBy(F.xxhash64("l"), "l").limit(max_train), "tox-labels")  # at most max_train rows
-    rows = docs.select(F.col(id_col).alias("i"), text_or_empty(text).alias("text")).join(F.broadcast(chosen), F.col("i") == F.col("l"))
+    rows = docs.select(named(id_col).alias("i"), text_or_empty(text).alias("text")).join(F.broadcast(chosen), F.col("i") == F.col("l"))
     # A document that is there several times is learnt from once.
     return stash(rows.groupBy("i").agg(F.first("y").alias("y"), F.min("text").alias("text")).select("y", "text").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "tox-train")
 
@@ -273,7 +283,7 @@ def _loose(train: DataFrame, terms: list[str]) -> list[str]:
     return [t for t in short if t not in met]
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", max_train: int = MAX_TRAIN) -> Model:
     """The model; labels has id_col and toxic (0/1). Only rows that `trained_on` picks are used."""
     train = _training(docs, labels, id_col, text, max_train)
     tally = {int(r["y"]): int(r["count"]) for r in train.groupBy("y").count().collect()}
@@ -291,10 +301,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *[pa.array([found[y][t] for t in terms], pa.int64()) for y in (1, 0)]], ["term", "p", "n"])
 
     counts = train.mapInArrow(count, "term string, p long, n long").groupBy("term").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
-    # Bounded: each counts for at least one in fifty toxic documents, of at most max_train; the limit only guards.
+    # Bounded by the sample: each is in at least one in fifty of its toxic documents.
     useful = counts.where((F.col("p") >= max(5, math.ceil(0.02 * toxic))) & (F.col("p") >= PRECISION * (F.col("p") + F.col("n") + 1)))
-    rows = useful.orderBy(F.desc("p"), "term").limit(50 * max_terms).collect()
-    terms = choose_terms([(r["term"], r["p"], r["n"]) for r in rows], toxic, max_terms)
+    terms = choose_terms([(r["term"], r["p"], r["n"]) for r in useful.collect()], toxic)
     if not terms:
         return Model([], [], plain)
     loose = _loose(train, terms)
@@ -328,14 +337,14 @@ def _with_scores(rows: DataFrame, at: int, model: Model, name: str) -> DataFrame
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id_col, score: one row per document."""
-    slim = docs.select(id_col, text_or_empty(text).alias("__text"))
-    return _with_scores(slim, 1, model, "score").drop("__text")
+    slim = docs.select(named(id_col).alias("id"), text_or_empty(text).alias("text"))
+    return _with_scores(slim, 1, model, "score").select(F.col("id").alias(id_col), "score")
 
 
 def keep_civil(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs` that score below the threshold."""
-    scored = _with_scores(docs, docs.columns.index(text), model, "__toxicity")
-    return scored.where(F.col("__toxicity") < threshold).select(*docs.columns)
+    scored = _with_scores(packed(docs, text_or_empty(text).alias("text")), 1, model, "score")
+    return unpacked(scored.where(F.col("score") < threshold), docs)
 
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:
