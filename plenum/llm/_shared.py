@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plenum.operators.running import cumulate, shared_dir, stash  # noqa: F401
@@ -12,8 +12,28 @@ BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def named(column: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def text_or_empty(column: str) -> Column:
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+    return F.coalesce(named(column).cast("string"), F.lit(""))
+
+
+def packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """(row, *more): a row's columns as one struct, so that names of our own can't clash with theirs."""
+    return docs.select(F.struct(*[named(c).alias(c) for c in docs.columns]).alias("row"), *more)
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs` out of packed rows."""
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def least_row() -> Column:
+    """Of equal keys the least packed row, by its serialised form (which maps have too)."""
+    return F.min_by("row", F.to_json("row")).alias("row")
 
 
 def words(text: Column) -> Column:

@@ -9,7 +9,8 @@ Defined cases
 - empty table: empty result. Empty and null texts: equal to each other.
 - ties: of equal texts the smallest id stays; null ids come last, so a null id stays only if all are null.
 - repeated rows (same id, equal text): each counts in `group_size`; all carry the id that stays and are
-  marked kept in `exact_groups`; `drop_exact_copies` lets one row through.
+  marked kept in `exact_groups`; `drop_exact_copies` lets one row through. Rows that share an id, or have
+  none, but not the text are documents of their own: there is one row out for each row in.
 - extra columns, whatever their names, are ignored by `exact_groups` and returned by `drop_exact_copies`.
 - very long texts: only hashes leave a task.
 """
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm._shared import BLANKS, stash, text_or_empty
+from plenum.llm._shared import BLANKS, least_row, named, packed, stash, text_or_empty, unpacked
 
 #: Groups (16 bytes each) that may be sent to every executor; beyond that the lookup is a shuffled join.
 BROADCAST_GROUPS = 500_000
@@ -34,31 +35,46 @@ def text_digest(text: str = "text") -> Column:
     return F.sha2(normalised(text).cast("binary"), 256)
 
 
-def _outline(docs: DataFrame, id_col: str, text: str, prefix: int) -> DataFrame:
-    slim = docs.select(F.col(id_col).alias("id"), normalised(text).alias("norm"))
-    return slim.select("id", "norm", F.length("norm").alias("len"), F.xxhash64(F.substring("norm", 1, prefix)).alias("head"))
-
-
-def _full_hashes(docs: DataFrame, id_col: str, text: str, prefix: int) -> tuple[DataFrame, DataFrame]:
-    """(rows ruled out before their content was compared, rows left with their full hash)."""
-    outline = stash(_outline(docs, id_col, text, prefix).select("id", "len", "head"), "dedup-outline")
-    lengths = outline.groupBy("len").count().where("count > 1").select(F.col("len").alias("l"))
-    alike = outline.join(lengths, F.col("len") == F.col("l"), "left_semi")
-    groups = alike.groupBy("len", "head").count().where("count > 1")
-    groups = stash(groups.select(F.col("len").alias("l"), F.col("head").alias("h")), "dedup-groups")
-    same = (F.col("len") == F.col("l")) & (F.col("head") == F.col("h"))
-    apart = outline.join(groups, same, "left_anti").select("id")
-    rows = _outline(docs, id_col, text, prefix)
-    digest = F.unhex(F.sha2(F.col("norm").cast("binary"), 256)).alias("digest")
-    if groups.count() <= BROADCAST_GROUPS:
-        left = rows.join(F.broadcast(groups), same, "left_semi").select("id", digest)
+def _outline(docs: DataFrame, id_col: str, text: str, prefix: int, *more: Column) -> DataFrame:
+    """(id, len, head, *more) of each row; `more` may use the normalised text, `norm`."""
+    slim = docs.select(named(id_col).alias("id"), normalised(text).alias("norm"))
+    return slim.select("id", F.length("norm").alias("len"), F.xxhash64(F.substring("norm", 1, prefix)).alias("head"), *more)
+
+
+def _digest() -> Column:
+    return F.unhex(F.sha2(F.col("norm").cast("binary"), 256)).alias("digest")
+
+
+def _candidates(outline: DataFrame, most: int) -> tuple[DataFrame, bool]:
+    """((l, h) of the groups by length and head that hold more than one row, whether they are at most `most`)."""
+    lengths = stash(outline.groupBy("len").count().where("count > 1").select(F.col("len").alias("l")), "dedup-lengths")
+    # A head that occurs twice at a length tells that the length does, so beyond the bound that step may be left out.
+    few = lengths.count() <= most
+    alike = outline.join(F.broadcast(lengths), F.col("len") == F.col("l"), "left_semi") if few else outline
+    groups = alike.groupBy("len", "head").count().where("count > 1").select(F.col("len").alias("l"), F.col("head").alias("h"))
+    groups = stash(groups, "dedup-groups")
+    return groups, groups.count() <= most
+
+
+def _same_group() -> Column:
+    return (F.col("len") == F.col("l")) & (F.col("head") == F.col("h"))
+
+
+def _full_hashes(docs: DataFrame, id_col: str, text: str, prefix: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """((id) of rows ruled out before their content was compared, (id, digest) of the rows left)."""
+    outline = stash(_outline(docs, id_col, text, prefix), "dedup-outline")
+    groups, few = _candidates(outline, most)
+    apart = outline.join(groups, _same_group(), "left_anti").select("id")
+    if few:
+        rows = _outline(docs, id_col, text, prefix, "norm")
+        left = rows.join(F.broadcast(groups), _same_group(), "left_semi").select("id", _digest())
     else:  # hash in the scan and shuffle the hashes, never the texts
-        left = rows.select("id", "len", "head", digest).join(groups, same, "left_semi").select("id", "digest")
+        left = _outline(docs, id_col, text, prefix, _digest()).join(groups, _same_group(), "left_semi").select("id", "digest")
     return apart, stash(left, "dedup-digests")
 
 
 def _copies(left: DataFrame) -> DataFrame:
-    """Rows left, with the id that stays and the size of their group."""
+    """Rows left (id, digest), with the id that stays and the size of their group."""
     groups = left.groupBy("digest").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     # Hashed anew on both sides, so that a join that meets a huge group can be split at run time.
     groups = groups.select(F.xxhash64("digest").alias("k"), F.col("digest").alias("d"), "keep_id", "group_size")
@@ -66,38 +82,47 @@ def _copies(left: DataFrame) -> DataFrame:
     return keyed.join(groups, (F.col("hk") == F.col("k")) & (F.col("digest") == F.col("d"))).select("id", "digest", "keep_id", "group_size")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", prefix: int = 64) -> DataFrame:
+def _grouped(apart: DataFrame, left: DataFrame, *more: str) -> DataFrame:
+    alone = apart.select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), *more)
+    found = _copies(left).select("id", "keep_id", "group_size", *more).unionByName(alone)
+    return found.withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", prefix: int = 64, most: int = BROADCAST_GROUPS) -> DataFrame:
     """One row per input row: id_col, keep_id, group_size (long), kept."""
-    apart, left = _full_hashes(docs, id_col, text, prefix)
-    found = _copies(left).select("id", "keep_id", "group_size").unionByName(
-        apart.select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
-    )
-    return found.select(F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"))
+    found = _grouped(*_full_hashes(docs, id_col, text, prefix, most))
+    return found.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept")
+
+
+def exact_groups_with_digests(docs: DataFrame, id_col: str = "doc_id", text: str = "text", prefix: int = 64, most: int = BROADCAST_GROUPS) -> DataFrame:
+    """`exact_groups` with text_sha256 of every row: the digests come from the one scan, and only those of rows left are compared."""
+    outline = stash(_outline(docs, id_col, text, prefix, _digest()), "dedup-outline")
+    groups, few = _candidates(outline, most)
+    placed = outline.join(F.broadcast(groups) if few else groups, _same_group(), "left")
+    placed = stash(placed.select("id", "digest", F.col("l").isNotNull().alias("left")), "dedup-digests")
+    made = _grouped(placed.where(~F.col("left")), placed.where("left").select("id", "digest"), "digest")
+    return made.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", prefix: int = 64) -> DataFrame:
+def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", prefix: int = 64, most: int = BROADCAST_GROUPS) -> DataFrame:
     """The input's columns, one row for each group of equal texts (the smallest id's; of its repeats, the least row)."""
-    _, left = _full_hashes(docs, id_col, text, prefix)
+    _, left = _full_hashes(docs, id_col, text, prefix, most)
     copies = stash(_copies(left).where("group_size > 1"), "dedup-copies")
     ids = copies.groupBy("id", "digest", "keep_id").agg(F.count(F.lit(1)).alias("n"))
-    loses = ids.where(~F.col("id").eqNullSafe(F.col("keep_id"))).select(F.col("id").alias("__i"), F.col("digest").alias("__d"))
-    again = ids.where(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("n") > 1)).select(F.col("id").alias("__i"), F.col("digest").alias("__d"))
-    keyed = docs.select("*", F.unhex(text_digest(text)).alias("__digest"))
-    same = F.col(id_col).eqNullSafe(F.col("__i")) & (F.col("__digest") == F.col("__d"))
-    rest = keyed.join(loses, same, "left_anti")
+    stays = F.col("id").eqNullSafe(F.col("keep_id"))
+    loses = ids.where(~stays).select(F.col("id").alias("i"), F.col("digest").alias("d"))
+    again = ids.where(stays & (F.col("n") > 1)).select(F.col("id").alias("i"), F.col("digest").alias("d"))
+    rows = packed(docs, named(id_col).alias("id"), F.unhex(text_digest(text)).alias("digest"))
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d"))
+    rest = rows.join(loses, same, "left_anti")
     if again.isEmpty():
-        return rest.select(*docs.columns)
-    once = rest.join(again, same, "left_anti").select(*docs.columns)
-    row = F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("__row")
-    twice = rest.join(again, same, "left_semi").groupBy("__digest").agg(row).select("__row.*")
-    return once.unionByName(twice)
+        return unpacked(rest, docs)
+    twice = rest.join(again, same, "left_semi").groupBy("digest").agg(least_row())
+    return unpacked(rest.join(again, same, "left_anti").select("row").unionByName(twice.select("row")), docs)
 
 
 def op1_exact_dedup(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    groups = exact_groups(docs)
-    digests = docs.select(F.col("doc_id").alias("__id"), text_digest().alias("text_sha256"))
-    return groups.join(digests, F.col("doc_id").eqNullSafe(F.col("__id"))).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact_groups_with_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 OP1_SQL = r"""

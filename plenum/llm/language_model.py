@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm._shared import stash, text_or_empty
+from plenum.llm._shared import named, stash, text_or_empty
 from plenum.llm.shingles import mixed, word_hashes
 
 BLOCK = 16 << 20
@@ -275,7 +275,7 @@ def _repeatable(rows: DataFrame) -> DataFrame:
 
 def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mu: float = MU, block: int = BLOCK) -> DataFrame:
     """id_col, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per document."""
-    slim = docs.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held"), text_or_empty(text).cast("binary").alias("text"))
+    slim = docs.select(named(id_col).alias("id"), held_out(named(id_col)).alias("held"), text_or_empty(text).cast("binary").alias("text"))
     slim = _repeatable(slim)
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(8, -(-size // RANGE_BYTES))

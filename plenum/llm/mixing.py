@@ -13,7 +13,7 @@ Defined cases
 - null texts have size 0; a source without words has target 0 and its documents are not taken.
 - a null source is a source of its own, last in order. Empty table: empty result.
 - ties in size are ordered by id; rows that repeat an id are separate documents.
-- extra columns, whatever their names, are ignored by `mix_counts` and returned by `mix`.
+- extra columns, whatever their names and types, are ignored by `mix_counts` and returned by `mix`.
 - the same rows give the same mix, in whatever order or partitioning they come.
 """
 
@@ -21,14 +21,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plenum.llm._shared import count_words, cumulate, stash, text_or_empty, uniform
+from plenum.llm._shared import count_words, cumulate, least_row, named, packed, stash, text_or_empty, uniform, unpacked
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
 SEED = "mix-1"
+AT_ONCE = 1_000
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -74,23 +75,32 @@ def _copies(rows: DataFrame, ids: list[str], weights: Sequence[int], most: int,
 
 def mix_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """id_col, source, size, source_size, target, copies: one row per document."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source).cast("string").alias("source"), count_words(text_or_empty(text)).alias("size"))
-    return _copies(rows, ["id"], weights, most, seed).withColumnRenamed("id", id_col)
+    rows = docs.select(named(id_col).alias("id"), named(source).cast("string").alias("source"), count_words(text_or_empty(text)).alias("size"))
+    return _copies(stash(rows, "mix-sizes"), ["id"], weights, most, seed).withColumnRenamed("id", id_col)
+
+
+def _row_hash(docs: DataFrame) -> Column:
+    """Hash of all columns; those that hold maps, which have no hash, by their serialised form."""
+    holds_map = lambda f: "map<" in f.dataType.simpleString()
+    return F.xxhash64(*[F.to_json(F.struct(named(f.name).alias("c"))) if holds_map(f) else named(f.name) for f in docs.schema])
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """The input's columns, each row as often as the mix takes it."""
-    slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(*docs.columns).alias("h"), F.col(source).cast("string").alias("source"), count_words(text_or_empty(text)).alias("size"))
-    counts = _copies(slim, ["id", "h"], weights, most, seed)
-    # Rows alike in all columns share one entry; their copies are dealt out evenly, the first rows one more.
-    shares = counts.groupBy(F.col("id").alias("__id"), F.col("h").alias("__h")).agg(F.sum("copies").alias("__n"), F.count(F.lit(1)).alias("__m"))
-    shares = stash(shares, "mix-shares")
-    keyed = docs.select("*", F.xxhash64(*docs.columns).alias("__key"))
-    joined = keyed.join(shares, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__h")))
-    single = joined.where("__m = 1").select(*docs.columns, F.col("__n").alias("__k"))
-    repeats = joined.where("__m > 1").groupBy(*docs.columns).agg(F.first("__n").alias("__k"))
-    taken = single.unionByName(repeats).where("__k > 0")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__k")))).select(*docs.columns)
+    slim = docs.select(named(id_col).alias("id"), _row_hash(docs).alias("h"), named(source).cast("string").alias("source"), count_words(text_or_empty(text)).alias("size"))
+    counts = _copies(stash(slim, "mix-sizes"), ["id", "h"], weights, most, seed)
+    # Rows alike in all columns share one entry with the copies of all of them.
+    shares = counts.groupBy(F.col("id").alias("i"), F.col("h").alias("h")).agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("m"))
+    shares = stash(shares.where("n > 0"), "mix-shares")
+    rows = packed(docs, named(id_col).alias("id"), _row_hash(docs).alias("key"))
+    joined = rows.join(shares, F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("h")))
+    times = lambda n: F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("copy")
+    single = joined.where("m = 1").select("row", times(F.col("n"))).select("row")
+    alike = joined.where("m > 1").groupBy("id", "key").agg(least_row(), F.first("n").alias("n"))
+    # What stands for very many rows is dealt out in runs of AT_ONCE copies before they are made.
+    runs = alike.select("row", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(AT_ONCE).cast("long"))).alias("from")).repartition("from", "n")
+    many = runs.select("row", times(F.least(F.col("n") - F.col("from"), F.lit(AT_ONCE)))).select("row")
+    return unpacked(single.unionByName(many), docs)
 
 
 def op4_mix(spark, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm._shared import stash, text_or_empty
+from plenum.llm._shared import least_row, named, packed, stash, text_or_empty, unpacked
 from plenum.llm.components import components
 from plenum.llm.shingles import shingle_set
 
@@ -102,7 +102,7 @@ def _signatures(column) -> np.ndarray:
 def sketches(docs: DataFrame, id_col: str, text: str, width: int = WIDTH) -> DataFrame:
     """(id, th, n, key, sig): hash of the text, size of the set, digest of the set, signature."""
     body = text_or_empty(text)
-    slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(body).alias("th"), body.cast("binary").alias("text"))
+    slim = docs.select(named(id_col).alias("id"), F.xxhash64(body).alias("th"), body.cast("binary").alias("text"))
     kind = slim.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -164,7 +164,7 @@ def _sets(docs: DataFrame, entries: DataFrame, keys: DataFrame, id_col: str, tex
     """(key, items): the full sets of the entries in `keys` (column k), made anew from one document of each."""
     wanted = stash(entries.join(keys, F.col("key") == F.col("k"), "left_semi").select("row.th", "row.id"), tag)
     body = text_or_empty(text)
-    rows = docs.select(F.col(id_col).alias("__i"), F.xxhash64(body).alias("__t"), body.cast("binary").alias("text"))
+    rows = docs.select(named(id_col).alias("__i"), F.xxhash64(body).alias("__t"), body.cast("binary").alias("text"))
     if wanted.count() <= BROADCAST_DOCS:
         wanted = F.broadcast(wanted)
     found = rows.join(wanted, (F.col("__t") == F.col("th")) & F.col("__i").eqNullSafe(F.col("id"))).select("text")
@@ -322,20 +322,17 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     groups = stash(near_groups(docs, id_col, text, percent, width), "near-groups")
     sets = groups.where("n > 0")
     # Of a component the row with the smallest (id, hash of the text) stays.
-    stays = sets.where(F.col("id").eqNullSafe(F.col("first"))).groupBy("id").agg(F.min("th").alias("th"))
-    stays = stays.select(F.col("id").alias("__i"), F.col("th").alias("__t"))
-    same_row = F.col("id").eqNullSafe(F.col("__i")) & (F.col("th") == F.col("__t"))
-    loses = stash(sets.join(stash(stays, "near-stays"), same_row, "left_anti").select(F.col("id").alias("__i"), F.col("th").alias("__t")).distinct(), "near-loses")
-    keyed = docs.select("*", F.xxhash64(text_or_empty(text)).alias("__th"))
-    rest = keyed.join(loses, F.col(id_col).eqNullSafe(F.col("__i")) & (F.col("__th") == F.col("__t")), "left_anti")
-    again = sets.groupBy("id", "th").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("id").alias("__i"), F.col("th").alias("__t"))
+    stays = sets.where(F.col("id").eqNullSafe(F.col("first"))).groupBy("id").agg(F.min("th").alias("t")).withColumnRenamed("id", "i")
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t"))
+    loses = sets.join(stash(stays, "near-stays"), same, "left_anti").select(F.col("id").alias("i"), F.col("th").alias("t")).distinct()
+    again = sets.groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("i", "t")
     again = stash(again, "near-again")
-    same = F.col(id_col).eqNullSafe(F.col("__i")) & (F.col("__th") == F.col("__t"))
+    rows = packed(docs, named(id_col).alias("id"), F.xxhash64(text_or_empty(text)).alias("th"))
+    rest = rows.join(stash(loses, "near-loses"), same, "left_anti")
     if again.isEmpty():
-        return rest.select(*docs.columns)
-    once = rest.join(again, same, "left_anti").select(*docs.columns)
-    row = F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("__row")
-    return once.unionByName(rest.join(again, same, "left_semi").groupBy(id_col, "__th").agg(row).select("__row.*"))
+        return unpacked(rest, docs)
+    twice = rest.join(again, same, "left_semi").groupBy("id", "th").agg(least_row())
+    return unpacked(rest.join(again, same, "left_anti").select("row").unionByName(twice.select("row")), docs)
 
 
 def op10_near_dedup(spark, sf_dir: str) -> DataFrame:

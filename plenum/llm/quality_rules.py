@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm._shared import BLANKS, stash, text_or_empty
+from plenum.llm._shared import BLANKS, named, stash, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
@@ -85,7 +85,7 @@ def host_verdicts(rows: DataFrame, host: str, failed: dict[str, Column], refuse:
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source", refuse: float = REFUSE) -> DataFrame:
     """id_col, the measures, base_failed, kept: one row per document."""
-    rows = stash(measured(docs, [F.col(id_col).alias("id"), F.col(host).cast("string").alias("host")], text), "quality-measures")
+    rows = stash(measured(docs, [named(id_col).alias("id"), named(host).cast("string").alias("host")], text), "quality-measures")
     failed = rules()
     hosts = stash(host_verdicts(rows, "host", failed, refuse).select(F.col("host").alias("h"), "refused"), "host-verdicts")
     any_failed = F.lit(False)
