@@ -1,93 +1,108 @@
 """Sharding by balanced label propagation, law `bytes`: the shards' sizes are near equal.
 
-Documents with equal texts are linked. All documents start in a shard chosen by a hash; then, in rounds,
-each linked document moves towards the shard that holds most of its neighbours' bytes, under a quota: a
-shard admits movers only up to its capacity, and of more candidates than that admits an equal share,
-chosen by hash. A group's neighbours are counted through its bytes per shard, so no pairs of documents
-are made. At the end each linked document takes the label that holds most of its group, quotas aside, the
-documents are laid out by (label, group), and the line is cut into pieces of equal bytes: shards differ by
-less than one document, groups stay together save at the few cuts. The cut decides the shard: rounds only
-add to what leads already, so they change no returned row.
+Documents with equal texts are linked. Linked documents start in a shard chosen by a hash; then, in rounds,
+each moves towards the shard that holds most of its neighbours' bytes, under a quota: a shard admits movers,
+group by group, only while its linked documents stay within an equal share of all bytes. A shard that has no
+room left is no goal, so what a full shard can't take gathers in the next one, and a group larger than a shard
+ends in as few shards as hold it. A group's neighbours are counted through its bytes per shard, so no pairs of
+documents are made. The label that a linked document has after the last round is its shard; documents without
+a link only level the sizes: they are laid in a line that is cut where the shards' free room ends.
 
 Only DataFrame operations are used. Defined cases
 - null text: no bytes, so size 1, and the checksum of the empty text; null and empty texts are linked.
 - ties between shards are settled by a hash of group and shard; equal rows are ordered by id, nulls last.
 - rows that repeat an id are separate documents. Empty table: empty result. Extra columns are ignored.
-- a group larger than a shard spans several shards; each shard admits what its quota allows.
+- a document larger than a shard's share stays where it starts if linked, else it fills a shard alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm._shared import cumulate, stash, text_or_empty
+from plenum.llm._shared import cumulate, named, stash, text_or_empty
 
 SHARDS = 8
-ROUNDS = 3
-SLACK = 0.02
+ROUNDS = 4
+#: A shard whose free room is below this part of its share is no goal.
+FULL = 0.005
 
 
-def _fraction(*columns: Column) -> Column:
-    return (F.xxhash64(*columns).bitwiseAND(F.lit((1 << 53) - 1))).cast("double") / F.lit(float(1 << 53))
+def _loads(rows: DataFrame, shards: int) -> list[int]:
+    """Bytes in each shard; one row per shard comes to the driver."""
+    found = {r["shard"]: r["b"] for r in rows.groupBy("shard").agg(F.sum("size").alias("b")).collect()}
+    return [found.get(s, 0) for s in range(shards)]
 
 
-def _aims(linked: DataFrame) -> DataFrame:
-    """Linked documents with the shard (`goal`) that holds most of their group."""
-    held = linked.groupBy("group", "shard").agg(F.sum("size").alias("bytes"))
-    # Shards that hold as much as each other are told apart by hash, so that no shard is wanted more than others.
-    best = held.groupBy("group").agg(F.max(F.struct("bytes", F.xxhash64("group", "shard").alias("h"), "shard")).alias("m"))
-    best = stash(best.select(F.col("group").alias("g"), F.col("m.shard").alias("goal")), "shard-goals")
-    aims = linked.join(best, (F.xxhash64("group") == F.xxhash64("g")) & (F.col("group") == F.col("g"))).drop("g")
-    return stash(aims, "shard-aims")
-
-
-def _round(linked: DataFrame, fixed: DataFrame, shards: int, capacity: float, nth: int) -> DataFrame:
-    """One round: linked documents move towards the shard with most of their group, under quotas."""
-    aims = _aims(linked)
-    # At most one row per shard from here on.
-    load = linked.select("shard", "size").unionByName(fixed).groupBy("shard").agg(F.sum("size").alias("load"))
-    moving = aims.where("shard <> goal")
-    arriving = moving.groupBy("goal").agg(F.sum("size").alias("wish"))
-    leaving = moving.groupBy(F.col("shard").alias("from_shard")).agg(F.sum("size").alias("gone"))
-    quota = (
-        arriving.join(load, F.col("goal") == F.col("shard"), "left")
-        .join(leaving, F.col("goal") == F.col("from_shard"), "left")
-        .select(F.col("goal").alias("q"), (F.greatest(F.lit(0.0), F.lit(capacity) - F.coalesce(F.col("load"), F.lit(0)) + F.coalesce(F.col("gone"), F.lit(0))) / F.col("wish")).alias("part"))
-    )
-    goes = _fraction("id", "group", F.lit(nth)) < F.coalesce(F.col("part"), F.lit(1.0))
-    moved = aims.join(F.broadcast(quota), F.col("goal") == F.col("q"), "left")
-    return stash(moved.select("id", "group", "size", "crc", F.when(goes, F.col("goal")).otherwise(F.col("shard")).alias("shard")), "shard-labels")
+def _per_shard(values: Sequence, shard: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), shard + 1)
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def _moves(linked: DataFrame, room: Sequence[float], least: float) -> DataFrame:
+    """(g, s, goal): members of a group in shard s move to the goal, the shard with room that holds most of the group."""
+    held = linked.groupBy("group", "shard").agg(F.sum("size").alias("bytes"))
+    held = stash(held.select("group", "shard", F.struct("bytes", F.xxhash64("group", "shard").alias("h"), "shard").alias("rank")), "shard-held")
+    best = held.groupBy("group").agg(F.max(F.when(_per_shard([r > least for r in room], F.col("shard")), F.col("rank"))).alias("best"))
+    both = held.join(best.select(F.col("group").alias("g"), "best"), F.col("group") == F.col("g"))
+    return both.where(F.col("best") > F.col("rank")).select("g", F.col("shard").alias("s"), F.col("best.shard").alias("goal"))
+
+
+def propagate(linked: DataFrame, shards: int, share: float, rounds: int = ROUNDS, bounded: bool = True) -> DataFrame:
+    """`linked` (id, group, size, crc, shard) with the labels after the rounds; `bounded` puts the quotas in force."""
+    columns = ["id", "group", "size", "crc", "shard"]
+    for _ in range(rounds):
+        room = [share - load for load in _loads(linked, shards)] if bounded else [float("inf")] * shards
+        moves = stash(_moves(linked, room, FULL * share), "shard-moves")
+        if moves.isEmpty():
+            break
+        # Groups are hashed anew on both sides, so that a join that meets a huge group can be split at run time.
+        same = (F.xxhash64("group", "shard") == F.xxhash64("g", "s")) & (F.col("group") == F.col("g")) & (F.col("shard") == F.col("s"))
+        aims = linked.join(moves, same, "left").select(*columns, "goal")
+        order = [F.col("group"), F.col("id").asc_nulls_last(), F.col("size"), F.col("shard")]
+        asked = cumulate(aims.where("goal IS NOT NULL"), [F.col("goal")], order, {"bytes": F.col("size")}, "shard-asked")
+        admitted = F.col("bytes_before") + F.col("size") <= _per_shard(room, F.col("goal"))
+        went = asked.select("id", "group", "size", "crc", F.when(admitted, F.col("goal")).otherwise(F.col("shard")).alias("shard"))
+        linked = stash(aims.where("goal IS NULL").select(*columns).unionByName(went), "shard-labels")
+    return linked
+
+
+def edges(loads: Sequence[float], extra: float) -> list[float]:
+    """Where a line of `extra` bytes is cut so that, laid on top of the loads, it fills the lowest shards to one level."""
+    lowest, level, width = sorted(loads), 0.0, 0
+    for width in range(1, len(loads) + 1):
+        level = (extra + sum(lowest[:width])) / width
+        if width == len(loads) or level <= lowest[width]:
+            break
+    out, at = [], 0.0
+    for load in loads:
+        at += max(0.0, level - load)
+        out.append(at)
+    return out
+
+
+def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text: str = "text", rounds: int = ROUNDS, bounded: bool = True) -> DataFrame:
     """id_col, size, text_crc32, shard, slot: one row per document; slots count from 0 within each shard."""
     body = text_or_empty(text)
     rows = stash(
-        docs.select(F.col(id_col).alias("id"), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("crc"), F.unhex(F.sha2(body.cast("binary"), 256)).alias("group")),
+        docs.select(named(id_col).alias("id"), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("crc"), F.unhex(F.sha2(body.cast("binary"), 256)).alias("group")),
         "shard-rows",
     )
-    start = F.pmod(F.xxhash64("id", "group"), F.lit(shards)).cast("int").alias("shard")
     groups = stash(rows.groupBy("group").count().where("count > 1").select(F.col("group").alias("g")), "shard-groups")
     same = (F.xxhash64("group") == F.xxhash64("g")) & (F.col("group") == F.col("g"))
+    start = F.pmod(F.xxhash64("id", "group"), F.lit(shards)).cast("int").alias("shard")
     linked = stash(rows.join(groups, same, "left_semi").select("id", "group", "size", "crc", start), "shard-labels")
-    alone = stash(rows.join(groups, same, "left_anti").select("id", "group", "size", "crc", start), "shard-alone")
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("t"), F.count(F.lit(1)).alias("n")).first()
-    capacity = total["t"] / shards * (1 + SLACK)
-    fixed = alone.groupBy("shard").agg(F.sum("size").alias("size"))
-    for nth in range(rounds):
-        linked = _round(linked, fixed, shards, capacity, nth)
-    # Stragglers stand with their group's majority in the line; only the line's cuts part a group.
-    settled = _aims(linked).select("id", "group", "size", "crc", F.col("goal").alias("shard"))
-    labels = settled.unionByName(alone)
-    order = [F.col("shard"), F.col("group"), F.col("id").asc_nulls_last(), F.col("size")]
-    line = cumulate(labels, [], order, {"bytes": F.col("size"), "rows": F.lit(1)}, "shard-line")
-    place = F.least(F.floor((F.col("bytes_before") + F.col("size") / 2) * shards / F.col("bytes_all")), F.lit(shards - 1))
-    line = stash(line.select("id", "size", "crc", place.cast("int").alias("place"), "rows_before"), "shard-places")
-    first = line.groupBy("place").agg(F.min("rows_before").alias("first")).withColumnRenamed("place", "p")  # a row per shard
-    placed = line.join(F.broadcast(first), F.col("place") == F.col("p"))
-    slot = (F.col("rows_before") - F.col("first")).cast("long")
-    return placed.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.col("place").alias("shard"), slot.alias("slot"))
+    alone = rows.join(groups, same, "left_anti").select("id", "group", "size", "crc")
+    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("t")).first()["t"]
+    linked = propagate(linked, shards, total / shards, rounds, bounded)
+    loads = _loads(linked, shards)
+    line = cumulate(alone, [], [F.col("group")], {"bytes": F.col("size")}, "shard-line")
+    cuts = F.array(*[F.lit(float(e)) for e in edges(loads, total - sum(loads))[:-1]]) if shards > 1 else F.array().cast("array<double>")
+    place = F.size(F.filter(cuts, lambda e: e <= F.col("bytes_before") + F.col("size") / 2))
+    labels = linked.unionByName(line.select("id", "group", "size", "crc", place.cast("int").alias("shard")))
+    placed = cumulate(labels, [F.col("shard")], [F.col("group"), F.col("id").asc_nulls_last(), F.col("size")], {"slot": F.lit(1)}, "shard-slots")
+    return placed.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "shard", F.col("slot_before").cast("long").alias("slot"))
 
 
 def op8_shard(spark, sf_dir: str) -> DataFrame:
