@@ -2,10 +2,14 @@
 
 The writer makes one archive per partition in a shared folder; a retried task writes anew under another
 name and only the files of tasks that succeeded are listed in the manifest it returns.
-The reader divides archives into byte ranges. A task looks in its range for the gzip magic; a place is a
+The reader divides archives into byte ranges. A task looks in its range for the gzip magic; a place may be a
 record's start if a gzip header and deflate stream begin there that decode to a WARC version line, and if
-its member is followed by another magic or the end of the file. A task owns the records that start in its
-range and reads on past its end to finish the last one; bytes inside an owned member aren't looked at.
+its member is followed by another magic or the end of the file. An archive stored inside a record has such
+places too. So a range first tells, for each of them, where the records that begin there leave the range; the
+exit of one range is the entry of the next, and following these from the archive's start, a row per range, shows
+where each range is to be read from (archives of one range are read at once). A task owns the records that start
+in its range and reads on past its end to finish the last one. After a damaged member the next place that may be
+a record's start is taken.
 
 Defined cases
 - null payloads are written as empty. Empty table: no archive, empty results. Repeated rows: a record each.
@@ -23,6 +27,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,8 +139,8 @@ def _member(window: _Window, at: int) -> tuple[bytes, int] | None:
     return (b"".join(out), end) if not after or after == MAGIC else None
 
 
-def read_range(path: str, start: int, end: int) -> Iterator[bytes]:
-    """The decoded records whose members start in [start, end) of the archive."""
+def _records(path: str, start: int, end: int) -> Iterator[tuple[int, bytes, int]]:
+    """(place, decoded record, the place after its member) of the records that start in [start, end), from a record's start on."""
     system, name = _open_fs(path)
     with system.open_input_file(name) as file:
         window, at = _Window(file, start), start
@@ -155,11 +160,83 @@ def read_range(path: str, start: int, end: int) -> Iterator[bytes]:
             if hit is None:
                 at += 1
                 continue
-            yield hit[0]
+            yield at, *hit
             at = hit[1]
             window.drop(at)
 
 
+def read_range(path: str, start: int, end: int) -> Iterator[bytes]:
+    """The decoded records whose members start in [start, end) of the archive."""
+    return (record for _, record, _ in _records(path, start, end))
+
+
+def _places(path: str, start: int, end: int) -> Iterator[int]:
+    """All places of the magic in [start, end)."""
+    system, name = _open_fs(path)
+    with system.open_input_file(name) as file:
+        file.seek(start)
+        base, data = start, b""
+        while base < end:
+            got = file.read(CHUNK)
+            data += got
+            at = data.find(MAGIC)
+            while 0 <= at and base + at < end:
+                yield base + at
+                at = data.find(MAGIC, at + 1)
+            if not got:
+                return
+            base, data = base + max(0, len(data) - len(MAGIC) + 1), data[-len(MAGIC) + 1 :]
+
+
+def exits(path: str, start: int, end: int) -> dict[int, int]:
+    """For each place in the range where a record may start: where the records from there on leave the range."""
+    out: dict[int, int] = {}
+    for place in _places(path, start, end):
+        if place in out:
+            continue
+        trail, leaves = [], None
+        for at, _, after in _records(path, place, end):
+            if not trail and at != place:
+                break  # no record starts here
+            if at in out:
+                leaves = out[at]
+                break
+            trail.append(at)
+            leaves = after
+        out.update(dict.fromkeys(trail, end if leaves is None else max(end, leaves)))
+    return out
+
+
+def _entries(spark: SparkSession, ranges: DataFrame) -> DataFrame:
+    """`ranges` (path, bytes, start, end) of archives of several ranges with `entry`, where each is to be read from."""
+
+    def tell(batches):
+        for batch in batches:
+            rows = []
+            for path, size, start, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = exits(path, start, end)
+                # Where all trails leave the range at one place, it doesn't matter which of them is entered.
+                one = len(set(found.values())) < 2
+                rows.append((path, start, end, list(found.values())[:1] if one else list(found.values()), [] if one else list(found)))
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["path", "start", "end", "exits", "places"])
+
+    def follow(group: pd.DataFrame) -> pd.DataFrame:
+        at, out = 0, []
+        for row in group.sort_values("start").itertuples():
+            entry = max(at, row.start)
+            if entry >= row.end:
+                continue
+            out.append((row.path, entry, row.end))
+            leaves = {p: x for p, x in zip(row.places, row.exits, strict=True) if p >= entry} if len(row.places) else {}
+            at = leaves[min(leaves)] if leaves else max(row.end, *row.exits) if len(row.exits) and not len(row.places) else row.end
+        return pd.DataFrame(out, columns=["path", "start", "end"])
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    told = ranges.repartition(parts).mapInArrow(tell, "path string, start long, end long, exits array<long>, places array<long>")
+    return stash(told.groupBy("path").applyInPandas(follow, "path string, start long, end long"), "warc-entries")
+
+
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Write an archive per partition under `path`; the manifest (path, bytes, records) of the files that count."""
     body = F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary")
@@ -199,10 +276,14 @@ def list_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def read_warc(manifest: DataFrame, split: int = SPLIT) -> DataFrame:
     """The response and revisit records of the archives in a manifest (path, bytes)."""
+    spark = manifest.sparkSession
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split).cast("long")))
     ranges = manifest.where("bytes > 0").select("path", "bytes", starts.alias("start"))
-    ranges = ranges.select("path", "start", F.least("bytes", F.col("start") + split).alias("end"))
-    ranges = ranges.repartition(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = ranges.select("path", "bytes", "start", F.least("bytes", F.col("start") + split).alias("end"))
+    several = ranges.where(F.col("bytes") > split)
+    whole = ranges.where(F.col("bytes") <= split).select("path", "start", "end")
+    ranges = whole if several.isEmpty() else whole.unionByName(_entries(spark, several))
+    ranges = ranges.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches):
         names = [f.split(" ")[0] for f in FIELDS.split(", ")]

@@ -85,6 +85,41 @@ def test_exact_copies_with_repeated_rows_and_null_ids(spark):
     assert exact_dedup.exact_groups(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("most", [exact_dedup.BROADCAST_GROUPS, 0])
+def test_exact_dedup_one_row_for_each_row(spark, most):
+    rows = [(1, "a b"), (1, "a  b"), (1, "c"), (None, "a b"), (None, "only"), (None, "only"), (2, None), (3, ""), (3, " \n"), (4, "d" * 100_000), (5, "d" * 99_999 + "e")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, `a.b` string")
+    want = []
+    for i, t in rows:
+        norm = squeezed(t)
+        group = [k for k, u in rows if squeezed(u) == norm]
+        keep = min((k for k in group if k is not None), default=None)
+        want.append((i, keep, len(group), i == keep, hashlib.sha256(norm.encode()).hexdigest()))
+    for got in (exact_dedup.exact_groups_with_digests(df, most=most), exact_dedup.exact_groups(df, most=most)):
+        assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(repr(w[: len(got.columns)]) for w in want)
+    kept = exact_dedup.drop_exact_copies(df, most=most)
+    assert kept.columns == df.columns
+    assert sorted(map(repr, ((r["doc_id"], squeezed(r["text"])) for r in kept.collect()))) == sorted(map(repr, {(k, squeezed(t)) for (_, t), (_, k, *_) in zip(rows, want, strict=True)}))
+
+
+CLASH = "doc_id long, text string, source string, `a.b` int, __key int, __i int, __th int, __toxicity double, row int, id int, th int, i int, t int, n int, score int, m map<string,int>"
+
+
+def test_names_that_clash_pass_through_the_filters(spark):
+    words = "one two three four five six seven eight nine ten"
+    texts = [(1, words), (1, words), (2, words + "  more"), (None, words), (None, "p q r s t u v"), (3, ""), (4, "far away from all the other texts here")]
+    df = spark.createDataFrame([(i, t, "s", 1, 2, 3, 4, 0.5, 6, 7, 8, 9, 10, 11, 12, {"k": 1}) for i, t in texts], CLASH)
+    for made, want in (
+        (exact_dedup.drop_exact_copies(df), [texts[k] for k in (0, 2, 4, 5, 6)]),
+        (near_dedup.drop_near_copies(df, percent=85), [texts[k] for k in (0, 4, 5, 6)]),
+        (mixing.mix(df), texts),
+        (toxicity.keep_civil(df, toxicity.Model([], [], 0.1)), texts),
+    ):
+        assert made.schema.simpleString() == df.schema.simpleString()
+        assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in made.collect()))) == sorted(map(repr, want))
+        assert all(r["m"] == {"k": 1} and r["a.b"] == 1 for r in made.collect())
+
+
 def test_warc_round_trip(spark, tmp_path):
     page = "spark session of a page " * 60
     pages = [(1, "http://a/é", page), (2, "http://b\r\nX: y", page), (3, None, None), (4, "u", ""), (5, "u", "x" * 999), (6, "u", "x" * 999), (None, "u", page), (7, "u", "é" * 700), (7, "u", "é" * 700)]
@@ -105,17 +140,47 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read_warc(empty).count() == 0
 
 
-def test_warc_reader_is_not_misled_by_magic_inside_records(tmp_path):
-    inner = warc.record_bytes(9, "u", b"inner", None, "d")
+def stored(data: bytes) -> bytes:
+    """A gzip member that holds the data as it is."""
+    import zlib
+
+    packer = zlib.compressobj(0, zlib.DEFLATED, 31)
+    return packer.compress(data) + packer.flush()
+
+
+def test_warc_reader_is_not_misled_by_an_archive_inside_a_record(spark, tmp_path):
     import os
+    import zlib
 
-    payload = os.urandom(3000) + inner + warc.MAGIC + os.urandom(3000)  # noise is stored, so the inner member stays whole
-    data = warc.record_bytes(1, "u", payload, None, "d") + warc.record_bytes(2, "u", b"next", None, "d")
+    inner = b"".join(warc.record_bytes(i, "u", b"inner" * i, None, "d") for i in (9, 8, 7))
+    payload = os.urandom(900) + inner + warc.MAGIC + os.urandom(700) + inner
+    outer = stored(zlib.decompress(warc.record_bytes(1, "u", payload, None, "d"), 31))
+    assert outer.count(inner) == 2
+    data = outer + warc.record_bytes(2, "u", b"next", None, "d") + outer + warc.record_bytes(3, "u", b"", None, "d")
     path = tmp_path / "x.warc.gz"
     path.write_bytes(data)
-    for step in (len(data), 500):
-        found = [warc.parse_record(r) for at in range(0, len(data), step) for r in warc.read_range(f"file://{path}", at, min(at + step, len(data)))]
-        assert [f[0] for f in found] == [1, 2]
+    manifest = spark.createDataFrame([(f"file://{path}", len(data))], "path string, bytes long")
+    for split in (len(data), len(data) - 1, 1500, 500, 251, 64):
+        got = warc.read_warc(manifest, split=split).collect()
+        assert sorted((r["page_id"], r["payload_bytes"]) for r in got) == [(1, len(payload))] * 2 + [(2, 4), (3, 0)], split
+
+
+def test_warc_reader_goes_on_after_damage(spark, tmp_path):
+    members = [warc.record_bytes(i, "u", f"page {i} ".encode() * 40, None, "d") for i in range(12)]
+    members[4] = members[4][:40] + b"damage" + members[4][46:]
+    data = b"".join(members)
+    path = tmp_path / "x.warc.gz"
+    path.write_bytes(data)
+    manifest = spark.createDataFrame([(f"file://{path}", len(data))], "path string, bytes long")
+    for split in (len(data), 700, 333):
+        assert sorted(r["page_id"] for r in warc.read_warc(manifest, split=split).collect()) == [0, 1, 2, 3, *range(5, 12)], split
+
+
+def test_warc_extra_columns_and_a_long_payload(spark, tmp_path):
+    html = "long page \n" * 400_000
+    df = spark.createDataFrame([(1, "u", html, 1.5), (2, "u", html, None)], "page_id long, url string, html string, `a.b` double")
+    got = warc.read_warc(warc.write_warc(df, f"file://{tmp_path}/w"), split=1000).collect()
+    assert sorted((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in got) == [(1, len(html), "revisit", 2), (2, len(html), "response", None)]
 
 
 def test_sentence_pieces_equal_the_library(docs, rows):
@@ -139,7 +204,7 @@ def test_sentence_pieces_equal_the_library(docs, rows):
 def test_sentence_pieces_odd_texts():
     from sentencepiece import SentencePieceProcessor
 
-    codec = sentence_pieces.PieceCodec(sentence_pieces.default_model(), remembered=5)
+    codec = sentence_pieces.PieceCodec(sentence_pieces.default_model(), part=5)
     library = SentencePieceProcessor(model_file=sentence_pieces.default_model())
     for text in ["", " ", "a  b", "▁x", "a▁b", "héé\x00z", "\n\n", "🦄🦄x", "<s> hi </s>", "a\r\nb\tc", " lead", "trail  ", "  \n x \n▁▁\n", "日本語　全角"]:
         e = codec.encode(text)
