@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from plenum.plans import comparisons, decisions, evaluations, orders, texts, votes
+from plenum.plans import comparisons, decisions, evaluations, orders, packet_queries, texts, votes
 
-_GROUPS = (decisions, votes, evaluations, texts, orders, comparisons)
+_GROUPS = (decisions, votes, evaluations, texts, orders, comparisons, packet_queries)
 
 QUERIES: dict = {}
 ORACLES: dict = {}

@@ -56,6 +56,7 @@ def coerce_case_id(text: Column) -> Column:
     return F.when(is_whole(_repaired(cell), "[0-9]{6}"), F.concat(F.lit("MIB-"), _repaired(cell)))
 
 
+# Fixed value: what a sponsor id is read as.
 _SPONSOR_LIKE = rf"[Ss5][PpFf][NnHhMm][-–—:.\s]*({_CELL}{{4}})"
 
 
@@ -108,8 +109,9 @@ def name_strokes(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "rn", "m"), r"ri\b", "n")
 
 
-def waiver_code(text: Column) -> Column:
-    v = F.trim(text)
+def waiver_code(*parts: Column) -> Column:
+    """The first part that isn't empty; `n/a` and `none` say that there is no code."""
+    v = F.coalesce(*[F.when(F.trim(p) != "", F.trim(p)) for p in parts], F.lit(""))
     return F.when(F.lower(v).isin("n/a", "none"), "").otherwise(v)
 
 
@@ -119,8 +121,13 @@ def split_line(line: Column) -> tuple[Column, Column]:
     return F.lower(F.regexp_extract(line, pattern, 1)), F.trim(F.regexp_extract(line, pattern, 2))
 
 
+# Quotes that readings scatter, and what the prefixes of ids are read as.
+STRAY_QUOTES = "‘’“”"
+READ_AS_MIB = r"\bM[iI1l][bB]-"
+READ_AS_SPN = r"\b[S5]PN[-–—]"
+
+
 def clean_ocr_line(line: Column) -> Column:
-    """A line without quotes, leading junk, and with its case-id prefix repaired."""
-    plain = F.regexp_replace(line, "[‘’“”\"'`]", "")
-    plain = F.regexp_replace(plain, r"^[^A-Za-z0-9]+", "")
-    return F.regexp_replace(plain, r"\bM[1lI]B-", "MIB-")
+    """A line without stray quotes and leading junk, the prefixes of ids put right."""
+    plain = F.regexp_replace(F.translate(line, STRAY_QUOTES, ""), "^[^A-Za-z0-9]+", "")
+    return F.trim(F.regexp_replace(F.regexp_replace(plain, READ_AS_MIB, "MIB-"), READ_AS_SPN, "SPN-"))

@@ -196,7 +196,7 @@ ORACLES = {
     "nearest_rank_pct": _RANK.format(g="o_orderpriority,", v="o_totalprice", t="orders", by="GROUP BY o_orderpriority", q="0, 10, 50, 90, 99, 100"),
     "index_percentiles": "SELECT q, vs[CAST(floor(n * q / 100) AS BIGINT) + 1] AS pick FROM (SELECT count(*) AS n, list_sort(list(n_chars)) AS vs FROM documents), (SELECT unnest([50, 90, 99]) AS q)",
     "runtime_stats": "WITH s AS (SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean, max(value) AS most, list_sort(list(value)) AS vs FROM events GROUP BY event_type) SELECT event_type, n, mean, most, vs[CAST(round_even(0.5::DOUBLE * (n - 1), 0) AS BIGINT) + 1] AS p50, vs[CAST(round_even(0.9::DOUBLE * (n - 1), 0) AS BIGINT) + 1] AS p90, vs[CAST(round_even(0.99::DOUBLE * (n - 1), 0) AS BIGINT) + 1] AS p99 FROM s",
-    "max_gap_midpoint": "WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_custkey % 97 = 3), g AS (SELECT d, lead(d) OVER (ORDER BY d) - d AS gap FROM d), b AS (SELECT * FROM g WHERE gap IS NOT NULL ORDER BY gap DESC, d DESC LIMIT 1) SELECT strftime(d, '%Y-%m-%d') AS lo, CAST(gap AS BIGINT) AS gap, strftime(d + CAST(floor(gap / 2) AS INT), '%Y-%m-%d') AS midpoint FROM b WHERE gap >= 20",
+    "max_gap_midpoint": "WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders), g AS (SELECT d, lead(d) OVER (ORDER BY d) - d AS gap FROM d), b AS (SELECT * FROM g WHERE gap IS NOT NULL ORDER BY gap DESC, d DESC LIMIT 1) SELECT strftime(d, '%Y-%m-%d') AS lo, CAST(gap AS BIGINT) AS gap, strftime(d + CAST(floor(gap / 2) AS INT), '%Y-%m-%d') AS midpoint FROM b WHERE gap >= 20",
     "replay_diff": """WITH a AS (SELECT o_orderkey AS k, o_orderstatus AS status, o_orderpriority AS priority FROM orders WHERE o_orderkey % 101 <> 0),
         b AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 50 <> 0 THEN o_orderstatus END AS status, CASE WHEN o_orderkey % 70 = 0 THEN '2-HIGH' ELSE o_orderpriority END AS priority FROM orders WHERE o_orderkey % 103 <> 0),
         j AS (SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'missing' WHEN a.k IS NULL THEN 'extra' ELSE 'changed' END AS state, a.status AS s1, b.status AS s2, a.priority AS p1, b.priority AS p2 FROM a FULL JOIN b ON a.k = b.k)

@@ -55,10 +55,13 @@ def stratified_sample(spark, sf_dir):
 
 
 def hard_first_round_robin(spark, sf_dir):
-    """Hardest first, in turn over the classes."""
+    """Hardest first, in turn over the classes; `place` is the interleaved order."""
     d = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    placed = running.cumulate(d, [F.col("o_orderpriority")], [F.desc("o_totalprice"), F.col("o_orderkey")], {"turn": F.lit(1)}, "turns")
-    return placed.select("o_orderkey", "o_orderpriority", (F.col("turn_before") + 1).cast("int").alias("turn"))
+    turns = running.cumulate(d, [F.col("o_orderpriority")], [F.desc("o_totalprice"), F.col("o_orderkey")], {"turn": F.lit(1)}, "turns")
+    turns = turns.select("o_orderkey", "o_orderpriority", (F.col("turn_before") + 1).cast("int").alias("turn"))
+    # At most one order of a class has a turn, so turn and class are a total order.
+    placed = running.cumulate(turns, [], [F.col("turn"), F.col("o_orderpriority").asc_nulls_last()], {"place": F.lit(1)}, "places")
+    return placed.select("o_orderkey", "o_orderpriority", "turn", (F.col("place_before") + 1).cast("long").alias("place"))
 
 
 def adjacent_ratio(spark, sf_dir):
@@ -150,9 +153,9 @@ ORACLES = {
     "kfold_round_robin": "SELECT c_custkey, CAST((row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) % 5 AS INT) AS fold FROM customer",
     "stratified_split": "WITH r AS (SELECT doc_id, row_number() OVER (PARTITION BY lang ORDER BY md5('8090' || doc_id), doc_id) AS k, count(*) OVER (PARTITION BY lang) AS n FROM documents) SELECT doc_id, CASE WHEN k <= round_even(n * 0.3::DOUBLE, 0) THEN 'holdout' ELSE 'dev' END AS split FROM r",
     "stratified_sample": "WITH r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS k FROM orders) WHERE k <= 5), x AS (SELECT min(o_orderkey) AS o_orderkey FROM orders WHERE o_totalprice > 400000) SELECT o_orderkey FROM r UNION ALL SELECT o_orderkey FROM x WHERE o_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM r WHERE o_totalprice > 400000)",
-    "hard_first_round_robin": "SELECT o_orderkey, o_orderpriority, CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS INT) AS turn FROM orders WHERE o_custkey % 10 = 0",
+    "hard_first_round_robin": "WITH t AS (SELECT o_orderkey, o_orderpriority, CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS INT) AS turn FROM orders) SELECT *, row_number() OVER (ORDER BY turn, o_orderpriority NULLS LAST) AS place FROM t",
     "adjacent_ratio": "WITH c AS (SELECT n, count(*) AS customers FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey) GROUP BY n) SELECT n, customers, lead(n) OVER (ORDER BY n) / n AS ratio FROM c",
-    "negation_lookback": "WITH d AS (SELECT doc_id, string_split(lower(text), ' ')[1:200] AS t FROM documents) SELECT doc_id, CAST(len([i FOR i IN range(1, len(t) + 1) IF t[i] = 'the' AND NOT (coalesce(CASE WHEN i > 1 THEN t[i - 1] IN ('of', 'and') END, false) OR coalesce(CASE WHEN i > 2 THEN t[i - 2] IN ('of', 'and') END, false))]) AS INT) AS n FROM d",
+    "negation_lookback": "WITH d AS (SELECT doc_id, string_split(lower(text), ' ') AS t FROM documents) SELECT doc_id, CAST(len([i FOR i IN range(1, len(t) + 1) IF t[i] = 'the' AND NOT (coalesce(CASE WHEN i > 1 THEN t[i - 1] IN ('of', 'and') END, false) OR coalesce(CASE WHEN i > 2 THEN t[i - 2] IN ('of', 'and') END, false))]) AS INT) AS n FROM d",
     "semi_split": "SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 1)",
     "anti_missing": "SELECT 'customer' AS side, c_custkey AS k FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) UNION ALL SELECT 'order', o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_custkey % 50 <> 0)",
     "resume_merge": "SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 < 3 THEN 'old' ELSE 'new' END AS run, o_totalprice FROM orders",
@@ -160,5 +163,5 @@ ORACLES = {
     "set_algebra": "WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT'), b AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F') SELECT 'both' AS part, count(*) AS n FROM a JOIN b USING (k) UNION ALL SELECT 'only_a', count(*) FROM a ANTI JOIN b USING (k) UNION ALL SELECT 'one', (SELECT count(*) FROM a ANTI JOIN b USING (k)) + (SELECT count(*) FROM b ANTI JOIN a USING (k))",
     "three_way_join": "SELECT n_name, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY n_name",
     "interval_overlap": "WITH s AS (SELECT * FROM lineitem WHERE l_returnflag = 'R') SELECT l_orderkey, count(*) AS struck FROM lineitem a WHERE l_returnflag = 'A' AND EXISTS (SELECT 1 FROM s WHERE s.l_orderkey = a.l_orderkey AND s.l_quantity < a.l_quantity + 5 AND s.l_quantity + 3 > a.l_quantity AND abs(s.l_linenumber - a.l_linenumber) <= 2) GROUP BY l_orderkey",
-    "left_join_pages": "SELECT o_orderkey, count(l_orderkey) AS reads FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity > 45) ON l_orderkey = o_orderkey WHERE o_orderkey % 2 = 0 GROUP BY o_orderkey",
+    "left_join_pages": "SELECT o_orderkey, count(l_orderkey) AS reads FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity > 45) ON l_orderkey = o_orderkey GROUP BY o_orderkey",
 }
