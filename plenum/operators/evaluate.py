@@ -14,7 +14,7 @@ def shrunken_accuracy(rows: DataFrame, branch: str, predicted: str, hit: Column,
     """Per branch: hits shrunk towards the mean class prior of its rows. One pass over classes, one over branches."""
     cells = rows.groupBy(branch, predicted).agg(F.count(F.lit(1)).alias("n"), F.sum(hit.cast("long")).alias("hits"))
     by_class = cells.groupBy(F.col(predicted).alias("__c")).agg((F.sum("hits") / F.sum("n")).alias("class_prior"))
-    joined = cells.join(F.broadcast(by_class), F.col(predicted) == F.col("__c"))
+    joined = cells.join(by_class, F.col(predicted) == F.col("__c"))
     g = joined.groupBy(branch).agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"), (F.sum(F.col("class_prior") * F.col("n")) / F.sum("n")).alias("prior"))
     shrunk = (F.col("hits") + k * F.col("prior")) / (F.col("n") + k)
     return g.select(branch, "n", "hits", "prior", shrunk.alias("shrunk"), F.bround(F.greatest(F.lit(clamp[0]), F.least(F.lit(clamp[1]), shrunk)), 3).alias("confidence"))
@@ -56,7 +56,15 @@ def nearest_rank(rows: DataFrame, value: str, percents: Sequence[int], group: Se
     on = (F.col("__at") >= F.col("__before")) & (F.col("__at") < F.col("__before") + F.col("__n"))
     for g in group:
         on = on & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
-    return placed.join(F.broadcast(asked), on).select(*group, "q", F.col(value).alias("pick"))
+    return placed.join(asked if group else F.broadcast(asked), on).select(*group, "q", F.col(value).alias("pick"))
+
+
+def index_percentiles(rows: DataFrame, value: str, percents: Sequence[int]) -> DataFrame:
+    """(q, pick): sorted[int(n * q / 100)] for each percent."""
+    counts = rows.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
+    placed = _running_rank(counts, [], value, "__n").withColumn("q", F.explode(F.array(*[F.lit(x) for x in percents])))
+    at = F.floor(F.col("__total") * F.col("q") / 100)
+    return placed.where((at >= F.col("__before")) & (at < F.col("__before") + F.col("__n"))).select("q", F.col(value).alias("pick"))
 
 
 def max_gap_midpoint(rows: DataFrame, day: str, least_days: int = 20) -> DataFrame:

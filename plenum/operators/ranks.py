@@ -18,7 +18,8 @@ def running_rank(counts: DataFrame, group: list[str], value: str, n: str) -> Dat
     on = F.lit(True)
     for g in group:
         on = on & F.col(g).eqNullSafe(F.col(f"__c_{g}"))
-    bucketed = counts.join(F.broadcast(spread), on) if group else counts.join(F.broadcast(spread), F.col(n).isNotNull())
+    # One row without groups; with groups, their number is not known, so Spark chooses by size.
+    bucketed = counts.join(spread, on) if group else counts.join(F.broadcast(spread), F.col(n).isNotNull())
     bucketed = bucketed.withColumn("__range", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts", *[f"__c_{g}" for g in group])
     ranges = bucketed.groupBy(*group, "__range").agg(F.sum(n).alias("__sum"))
     up = Window.partitionBy(*group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
@@ -28,4 +29,4 @@ def running_rank(counts: DataFrame, group: list[str], value: str, n: str) -> Dat
         same = same & F.col(g).eqNullSafe(F.col(f"__s_{g}"))
     inside = Window.partitionBy(*group, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     inner = bucketed.withColumn("__in", F.coalesce(F.sum(n).over(inside), F.lit(0)))
-    return inner.join(F.broadcast(starts), same).withColumn("__before", F.col("__start") + F.col("__in")).drop("__r", "__range", "__start", "__in", *[f"__s_{g}" for g in group])
+    return inner.join(starts if group else F.broadcast(starts), same).withColumn("__before", F.col("__start") + F.col("__in")).drop("__r", "__range", "__start", "__in", *[f"__s_{g}" for g in group])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plenum.operators.running import cumulate
+
 
 def forward_fill(df: DataFrame, group: list[str], order: list[Column], value: Column, name: str) -> DataFrame:
     w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -30,11 +32,14 @@ def nearest_fill(df: DataFrame, group: list[str], at: Column, tie: list[Column],
 
 
 def round_robin_fold(df: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:
-    return df.withColumn("fold", ((F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1) % k).cast("int"))
+    """Folds dealt in turn within each group, in a total order; ranks by distributed running totals, so a group may hold any share."""
+    placed = cumulate(df, [F.col(g) for g in group], order, {"__turn": F.lit(1)}, "folds")
+    return placed.withColumn("fold", (F.col("__turn_before") % k).cast("int")).drop("__turn_before", "__turn_all")
 
 
 def stratified_split(df: DataFrame, strata: str, key: str, seed: str, share: float) -> DataFrame:
-    """Per class the first round(share * n) rows by hash are held out; membership follows from the key alone."""
-    rank = F.row_number().over(Window.partitionBy(strata).orderBy(F.md5(F.concat(F.lit(seed), F.col(key).cast("string")).cast("binary")), key))
-    n = F.count(F.lit(1)).over(Window.partitionBy(strata))
-    return df.withColumn("split", F.when(rank <= F.bround(n * share), "holdout").otherwise("dev"))
+    """Holds out a share of every stratum, in the order of a hash."""
+    order = [F.md5(F.concat(F.lit(seed), F.col(key).cast("string")).cast("binary")), F.col(key)]
+    placed = cumulate(df, [F.col(strata)], order, {"__n": F.lit(1)}, "strata")
+    held = F.col("__n_before") + 1 <= F.bround(F.col("__n_all") * F.lit(share))
+    return placed.withColumn("split", F.when(held, "holdout").otherwise("dev")).drop("__n_before", "__n_all")

@@ -79,7 +79,7 @@ def volume_sample(spark, sf_dir):
     w = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
     spread = counts.select("n", F.coalesce(F.sum("cases").over(w), F.lit(0)).alias("before"), F.sum("cases").over(Window.partitionBy()).alias("total"))
     inner = F.row_number().over(Window.partitionBy("n").orderBy("case_id")) - 1
-    placed = g.join(F.broadcast(spread.withColumnRenamed("n", "m")), F.col("n") == F.col("m")).withColumn("place", F.col("before") + inner)
+    placed = g.join(spread.withColumnRenamed("n", "m"), F.col("n") == F.col("m")).withColumn("place", F.col("before") + inner)
     middle = F.floor(F.col("total") / 2)
     return placed.where((F.col("place") < 10) | ((F.col("place") >= middle) & (F.col("place") < middle + 10))).select("case_id", F.col("place").cast("long").alias("place"))
 

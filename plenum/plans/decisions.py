@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plenum.operators.decide import all_fired, back_off, best_action, cascade
+from plenum.session import table
 from plenum.plans.stand_ins import CASE_FACTS, case_facts, deny_rules, review_rules
 
 #: Points for deciding (second key) when the truth is the first key.
@@ -46,6 +47,20 @@ def rule_ablation(spark, sf_dir):
     return moved.select("removed", "decision", landed.alias("landed")).groupBy("removed", "decision", "landed").agg(F.count(F.lit(1)).alias("n"))
 
 
+def rule_ablation_truth(spark, sf_dir):
+    """Per rule left out, the cases that the rule carries, harms or moves sideways, and the approvals of cases that are to be denied."""
+    status = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.when(F.col("o_orderstatus") == "F", "DENIED").when(F.col("o_orderstatus") == "O", "APPROVED").otherwise("NEEDS_REVIEW").alias("truth"))
+    base = decided(spark, sf_dir).where("finding IS NULL").withColumns({"d": all_fired(deny_rules()), "r": all_fired(review_rules())})
+    moved = base.withColumn("removed", F.coalesce(F.get("d", F.lit(0)), F.get("r", F.lit(0)))).where("removed IS NOT NULL")
+    d, r = (F.filter(c, lambda x: x != F.col("removed")) for c in ("d", "r"))
+    landed = F.when(F.size(d) > 0, "DENIED").when((F.size(r) > 0) | F.col("injected"), "NEEDS_REVIEW").otherwise("APPROVED")
+    j = moved.withColumn("landed", landed).where("landed <> decision").join(status, F.col("case_id") == F.col("k"))
+    return j.groupBy("removed").agg(
+        F.count_if(F.col("decision") == F.col("truth")).alias("carries"), F.count_if(F.col("landed") == F.col("truth")).alias("harms"),
+        F.count_if((F.col("decision") != F.col("truth")) & (F.col("landed") != F.col("truth"))).alias("lateral"), F.count_if((F.col("landed") == "APPROVED") & (F.col("truth") == "DENIED")).alias("wrong_approvals"),
+    )
+
+
 def co_fire_matrix(spark, sf_dir):
     """Pairs of deny rules that fire together."""
     hits = case_facts(spark, sf_dir).select(all_fired(deny_rules()).alias("h")).where(F.size("h") > 1)
@@ -93,7 +108,7 @@ def payoff_attribution(spark, sf_dir):
     return g.select("branch", "decision", "n", (now * scale).alias("scored"), ((best - now) * scale).alias("relabel"), ((F.col("n") * 8 - best) * scale).alias("split"))
 
 
-QUERIES = {f.__name__: f for f in (rule_cascade_orders, rule_branch_counts, rule_fired_sets, rule_ablation, co_fire_matrix, confidence_back_off, display_fill_isolated, ev_argmax, payoff_attribution)}
+QUERIES = {f.__name__: f for f in (rule_cascade_orders, rule_branch_counts, rule_fired_sets, rule_ablation, rule_ablation_truth, co_fire_matrix, confidence_back_off, display_fill_isolated, ev_argmax, payoff_attribution)}
 
 _DENY = "list_filter([CASE WHEN d1 THEN 'disqualifying_flag' END, CASE WHEN d2 THEN 'embargo_world' END, CASE WHEN d3 THEN 'embargo_world_partial' END, CASE WHEN d4 THEN 'revoked_sponsor' END, CASE WHEN d5 THEN 'transit_visa' END, CASE WHEN d6 THEN 'fee_unpaid' END, CASE WHEN d7 THEN 'stale_arrival' END], lambda x: x IS NOT NULL)"
 _REVIEW = "list_filter([CASE WHEN r1 THEN 'fee_unknown' END, CASE WHEN r2 THEN 'waived_non_dip' END, CASE WHEN r3 THEN 'missing_arrival' END, CASE WHEN r4 THEN 'review_flag' END, CASE WHEN r5 THEN 'missing_sponsor' END, CASE WHEN r6 THEN 'missing_visa' END, CASE WHEN r7 THEN 'b13_census' END], lambda x: x IS NOT NULL)"
@@ -108,6 +123,13 @@ ORACLES = {
         SELECT removed, decision, CASE WHEN len(list_filter(d, lambda x: x <> removed)) > 0 THEN 'DENIED'
                  WHEN len(list_filter(r, lambda x: x <> removed)) > 0 OR injected THEN 'NEEDS_REVIEW' ELSE 'APPROVED' END AS landed, count(*) AS n
         FROM m WHERE removed IS NOT NULL GROUP BY ALL""",
+    "rule_ablation_truth": f"""WITH {CASE_FACTS}, base AS (SELECT *, {_DENY} AS d, {_REVIEW} AS r FROM decided WHERE finding IS NULL),
+        m AS (SELECT *, coalesce(d[1], r[1]) AS removed FROM base),
+        l AS (SELECT case_id, removed, decision, CASE WHEN len(list_filter(d, lambda x: x <> removed)) > 0 THEN 'DENIED'
+                 WHEN len(list_filter(r, lambda x: x <> removed)) > 0 OR injected THEN 'NEEDS_REVIEW' ELSE 'APPROVED' END AS landed FROM m WHERE removed IS NOT NULL),
+        t AS (SELECT l.*, CASE o_orderstatus WHEN 'F' THEN 'DENIED' WHEN 'O' THEN 'APPROVED' ELSE 'NEEDS_REVIEW' END AS truth FROM l JOIN orders ON o_orderkey = case_id WHERE landed <> decision)
+        SELECT removed, count(*) FILTER (decision = truth) AS carries, count(*) FILTER (landed = truth) AS harms, count(*) FILTER (decision <> truth AND landed <> truth) AS lateral,
+               count(*) FILTER (landed = 'APPROVED' AND truth = 'DENIED') AS wrong_approvals FROM t GROUP BY removed""",
     "co_fire_matrix": f"WITH {CASE_FACTS}, h AS (SELECT case_id, unnest({_DENY}) AS x FROM hits) SELECT p.x AS a, q.x AS b, count(*) AS n FROM h p JOIN h q ON p.case_id = q.case_id AND p.x < q.x GROUP BY ALL",
     "confidence_back_off": f"""WITH {CASE_FACTS} SELECT case_id, branch, CAST(CASE
         WHEN branch = 'clean_approve' AND soft::INT || (fee = 'paid')::INT = '10' THEN 0.91 WHEN branch = 'clean_approve' AND soft::INT || (fee = 'paid')::INT = '11' THEN 0.95

@@ -78,12 +78,7 @@ def nearest_rank_pct(spark, sf_dir):
 
 def index_percentiles(spark, sf_dir):
     """sorted[int(n * q)] of document lengths."""
-    d = table(spark, sf_dir, "documents").groupBy("n_chars").agg(F.count(F.lit(1)).alias("c"))
-    from plenum.operators.ranks import running_rank
-
-    p = running_rank(d, [], "n_chars", "c")
-    q = F.explode(F.array(*[F.lit(x) for x in (50, 90, 99)]))
-    return p.select("n_chars", "c", "__before", "__total", q.alias("q")).where((F.floor(F.col("__total") * F.col("q") / 100) >= F.col("__before")) & (F.floor(F.col("__total") * F.col("q") / 100) < F.col("__before") + F.col("c"))).select("q", F.col("n_chars").alias("pick"))
+    return evaluate.index_percentiles(table(spark, sf_dir, "documents"), "n_chars", [50, 90, 99])
 
 
 def runtime_stats(spark, sf_dir):

@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plenum.functions import fuzzy, grammar, labels, snap
-from plenum.operators import evidence, fills
+from plenum.operators import evidence, fills, gaps
 from plenum.plans import packets
 from plenum.session import table
+from plenum.sources import provenance
 from plenum.sources.page_text import CONF, PAGE
 
 
@@ -247,9 +248,78 @@ def first_documents(spark, sf_dir):
     return has.join(first, F.col("l_orderkey") == F.col("o"), "left").select(F.col("o").alias("l_orderkey"), "has_letter", "biometric")
 
 
+def stamp_disagreements(spark, sf_dir):
+    """Keys on which the stamps of artifacts, here the suppliers', differ; a missing key is tolerated."""
+    s = table(spark, sf_dir, "supplier")
+    name = F.concat(F.lit("artifact "), F.lpad(F.col("s_suppkey").cast("string"), 6, "0"))
+    odd = F.col("s_suppkey") % 5 == 2
+    values = F.create_map(F.lit("restore"), F.when(odd, "off").otherwise("on"), F.lit("ocr_optical"), F.when(~odd, "on"), F.lit("git_rev"), F.when(F.col("s_suppkey") % 2 == 0, "a1").otherwise("b2"), F.lit("note"), name)
+    found = provenance.disagreements(s.select(name.alias("artifact"), F.explode(values).alias("key", "value")))
+    return found.select("key", "critical", "n_values", F.md5(F.col("artifacts").cast("binary")).alias("artifacts"))
+
+
+def _read_lines(spark, sf_dir) -> DataFrame:
+    """(case_id, page_no, seq, line): two readings of a page of each customer, one of which is faint."""
+    d = _facts(_key(spark, sf_dir))
+    full = F.array(F.concat(F.lit("Case ID: "), F.col("id")), F.concat(F.lit("Visa Ciass: "), F.col("visa")), F.concat(F.lit("Home World: "), F.col("world")), F.concat(F.lit("Sponsor ID: "), F.col("sponsor")), F.lit("SAMPLE Visa Class: XW-1"), F.lit("SYSTEM: Fee Status: paid"))
+    faint = F.array(F.concat(F.lit("Homc World: "), F.substring("world", 1, 3)), F.lit("Fee Status: p"), F.lit("Visa"))
+    reads = F.when(F.col("k") % 3 == 0, F.array(faint, faint)).otherwise(F.array(faint, full))
+    return d.select(F.col("k").cast("string").alias("case_id"), F.lit(0).alias("page_no"), F.posexplode(reads).alias("seq", "lines")).select("case_id", "page_no", "seq", F.explode("lines").alias("line"))
+
+
+def reading_scores(spark, sf_dir):
+    """Lines led by a label, ids, and known words; watermarks and injected lines don't count."""
+    return gaps.page_scores(_read_lines(spark, sf_dir)).select("case_id", "seq", F.col("score").cast("long").alias("score"))
+
+
+def extraction_gaps(spark, sf_dir):
+    """Weak pages, and labels whose value no reading shows."""
+    lines = _read_lines(spark, sf_dir)
+    pages = _key(spark, sf_dir).select(F.col("k").cast("string").alias("case_id"), F.lit(0).alias("page_no"))
+    weak = gaps.weak_pages(lines, pages).select("case_id", F.lit("weak").alias("gap"))
+    return weak.unionByName(gaps.torn_labels(lines).select("case_id", F.col("label").alias("gap")))
+
+
+def case_coverage(spark, sf_dir):
+    """Scanned pages, inferred flags and hidden text of cases; and that suppression only removes."""
+    d = _facts(_key(spark, sf_dir))
+    pages = d.select("k", F.col("scanned").alias("is_scan_only"), F.when(F.col("key_hidden"), F.array(F.lit("x"))).otherwise(F.array().cast("array<string>")).alias("hidden_lines")).withColumnRenamed("k", "case_id")
+    flags = F.filter(F.array(F.col("flag"), F.when(F.col("k") % 7 == 2, F.lit("identity_conflict"))), lambda f: f.isNotNull() & (f != "none"))
+    emitted = F.filter(flags, lambda f: f != "identity_conflict")
+    decided = d.select(F.col("k").alias("case_id"), flags.alias("flags"), emitted.alias("emitted"))
+    removes = decided.select(F.col("case_id").alias("rc"), gaps.only_removes(F.col("flags"), F.col("emitted")).alias("only_removes"))
+    return gaps.coverage(pages, decided).join(removes, F.col("case_id") == F.col("rc")).drop("rc")
+
+
+def field_points(spark, sf_dir):
+    """Points that fields read right earn, by their weights, out of fifty."""
+    d = _facts(_key(spark, sf_dir))
+    right = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(w).alias("weight"), (F.col("k") % (n + 2) != 0).alias("right")) for n, (f, w) in enumerate(FIELD_WEIGHTS.items())])
+    g = d.select(F.explode(right).alias("x")).select("x.*").groupBy("field", "weight").agg(F.count(F.lit(1)).alias("n"), F.count_if("right").alias("hits"))
+    return g.select("field", "hits", F.round(50.0 * F.col("weight") * F.col("hits") / (sum(FIELD_WEIGHTS.values()) * F.col("n")), 9).alias("points"))
+
+
+def duplicate_keys(spark, sf_dir):
+    """Keys that an old and a new run both hold, so that they can't be merged."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    runs = o.where("k % 4 < 3").withColumn("run", F.lit("old")).unionByName(o.where("k % 4 > 1").withColumn("run", F.lit("new")))
+    return runs.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list("run")), "+").alias("runs")).where("n > 1")
+
+
+def waiver_codes(spark, sf_dir):
+    """The first waiver code of a case, after its readings have been cleaned."""
+    k = F.col("k")
+    raw = F.when(k % 4 == 0, "* n/a").when(k % 4 == 1, "\u201cDIP-WAIVER").when(k % 4 == 2, " ")
+    d = _key(spark, sf_dir).select("k", grammar.clean_ocr_line(raw).alias("a"), grammar.clean_ocr_line(F.concat(F.lit("- MlB-"), k.cast("string"))).alias("b"))
+    return d.select("k", grammar.waiver_code(F.col("a"), F.col("b")).alias("code"))
+
+
+# What a field that is read right is worth.
+FIELD_WEIGHTS = {"applicant_name": 8, "species_code": 6, "home_world": 5, "visa_class": 5, "sponsor_id": 5, "arrival_date": 5, "declared_purpose": 4, "risk_flags": 4, "fee_status": 3}
+
 QUERIES = {
     f.__name__: f
-    for f in (adjudicate_packets, name_snap, value_snap, flag_values, title_typing, label_resolution, sponsor_support, arrival_support, visa_support, fee_ladder, vocabulary_evidence, prose_fields, manual_corrections, registry_remains, damage_markers, text_recoverability, unsourced_flags, first_documents)
+    for f in (stamp_disagreements, reading_scores, extraction_gaps, case_coverage, field_points, duplicate_keys, waiver_codes, adjudicate_packets, name_snap, value_snap, flag_values, title_typing, label_resolution, sponsor_support, arrival_support, visa_support, fee_ladder, vocabulary_evidence, prose_fields, manual_corrections, registry_remains, damage_markers, text_recoverability, unsourced_flags, first_documents)
 }
 
 
@@ -290,7 +360,15 @@ def _support(kind: int, name: str, order: str) -> str:
     return f"WITH {_LINES}, g AS (SELECT case_id, v, count(DISTINCT page_no) AS pages, count(*) AS n, min(page_no * 10000000000 + ord) AS first FROM said WHERE kind = {kind} GROUP BY case_id, v), r AS (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY {order}) AS rn FROM g) SELECT case_id, v AS {name}, pages FROM r WHERE rn = 1"
 
 
+_WEIGHTS = ", ".join(f"('{f}', {w}, {n + 2})" for n, (f, w) in enumerate(FIELD_WEIGHTS.items()))
 ORACLES = {
+    "stamp_disagreements": "WITH a AS (SELECT 'artifact ' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS artifact, s_suppkey % 5 = 2 AS odd, s_suppkey % 2 = 0 AS even FROM supplier), v AS (SELECT artifact, 'restore' AS key, CASE WHEN odd THEN 'off' ELSE 'on' END AS value FROM a UNION ALL SELECT artifact, 'git_rev', CASE WHEN even THEN 'a1' ELSE 'b2' END FROM a) SELECT key, key = 'restore' AS critical, count(DISTINCT value) AS n_values, md5(string_agg(artifact || '=' || value, ', ' ORDER BY artifact)) AS artifacts FROM v GROUP BY key HAVING count(DISTINCT value) > 1",
+    "reading_scores": f"WITH {_FACTS} SELECT CAST(k AS VARCHAR) AS case_id, CAST(s AS INT) AS seq, CAST(CASE WHEN s = 1 AND k % 3 <> 0 THEN 4 + 2 + 2 ELSE 2 END AS BIGINT) AS score FROM f, range(2) r(s)",
+    "extraction_gaps": f"WITH {_FACTS} SELECT CAST(k AS VARCHAR) AS case_id, unnest(CASE WHEN k % 3 = 0 THEN ['weak', 'fee status', 'home world'] ELSE ['fee status'] END) AS gap FROM f",
+    "case_coverage": f"WITH {_FACTS} SELECT k AS case_id, k % 3 = 0 AS scanned, k % 7 = 2 AS inferred, key_hidden AS hidden, true AS only_removes FROM f",
+    "field_points": f"WITH {_FACTS}, w(field, weight, n) AS (VALUES {_WEIGHTS}) SELECT field, count(*) FILTER (k % n <> 0) AS hits, round(50.0::DOUBLE * weight * count(*) FILTER (k % n <> 0) / ({sum(FIELD_WEIGHTS.values())} * count(*)), 9) AS points FROM f, w GROUP BY field, weight",
+    "duplicate_keys": "SELECT o_orderkey AS k, CAST(2 AS BIGINT) AS n, 'new+old' AS runs FROM orders WHERE o_orderkey % 4 = 2",
+    "waiver_codes": f"SELECT k, CASE k % 4 WHEN 0 THEN '' WHEN 1 THEN 'DIP-WAIVER' ELSE 'MIB-' || CAST(k AS VARCHAR) END AS code FROM {_KEYS}",
     "adjudicate_packets": f"""
 WITH {_FACTS}, b AS (
   SELECT *, CASE

@@ -3,20 +3,49 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from plenum.operators.running import stash
+from plenum.operators.vote import first_by
 from plenum.plans.packets import adjudicate, records
 from plenum.sources.page_text import stream_cases
 
 
+def first_cases(batch: DataFrame) -> DataFrame:
+    """Of the lines of a stem the first: the one of the first file by name, then of the first place in it."""
+    ranked = batch.withColumn("__at", F.struct(F.col("file"), F.col("place")))
+    return first_by(ranked, ["stem"], F.col("__at"), F.col("cost_ms"), F.col("error"), F.col("pages"))
+
+
+def _decided_before(spark: SparkSession, sink: str, number: int) -> DataFrame | None:
+    """Ids that earlier batches have written."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        found = spark.read.option("recursiveFileLookup", "false").parquet(sink)
+    except AnalysisException:  # nothing is there yet
+        return None
+    return found.where(F.col("batch") < number).select(F.col("case_id").alias("__done")).distinct() if "batch" in found.columns else None
+
+
 def adjudicate_stream(spark: SparkSession, source: str, sink: str, checkpoint: str) -> StreamingQuery:
     """Append the records of each batch of new files to `sink`; a batch that is run again replaces itself.
 
-    A case is one line of one file, so no state is kept between batches. A corpus-wide correction is a
-    batch job over the sink.
+    Of several lines of a case the first counts: within a batch by (file, place), over batches the earlier
+    batch. What earlier batches have decided is read from the sink, so no state is kept between batches. A
+    corpus-wide correction is a batch job over the sink.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        records(adjudicate(batch)).dropDuplicates(["case_id"]).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        cases = stash(first_cases(batch), "stream-cases")
+        made = first_by(records(adjudicate(cases)), ["case_id"], F.struct("branch", "confidence"), *[F.col(c) for c in _RECORD])
+        done = _decided_before(batch.sparkSession, sink, number)
+        if done is not None:
+            made = made.join(done, F.col("case_id") == F.col("__done"), "left_anti")
+        made.write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
     return stream_cases(spark, source).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+_RECORD = ("applicant_name", "species_code", "home_world", "visa_class", "sponsor_id", "arrival_date", "declared_purpose", "risk_flags", "fee_status", "adjudication", "confidence", "branch")
