@@ -4,18 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+_SCRATCH: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a session on one machine gets a folder of its own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="plenum-shared-")
@@ -28,9 +34,34 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/plenum/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stashed inside are removed at the end; what is to last must have been written anew after it, or by then."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _SCRATCH.pop():
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def lasting(df: DataFrame, tag: str) -> DataFrame:
+    """A stash that outlives the scratch it is made in."""
+    outer = _SCRATCH[:]
+    _SCRATCH.clear()
+    try:
+        return stash(df, tag)
+    finally:
+        _SCRATCH.extend(outer)
+
+
 def cumulate(df: DataFrame, group: list[Column], order: list[Column], amounts: dict[str, Column], tag: str) -> DataFrame:
     """Running totals per group over all rows in a given order, without a group ever meeting in one task.
 
