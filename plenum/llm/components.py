@@ -36,4 +36,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"components have not settled in {most_rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
