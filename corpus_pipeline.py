@@ -2,6 +2,14 @@
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame. `run`
 writes what each returns and reads it again as the next one's documents, all in the shared folder.
+
+Defined cases (each stage but the last returns the columns of its documents, whatever their names and types)
+- empty tables: empty results. Null and empty texts: civil; equal to each other, so one of them is left; linked
+  with nothing; of size 0, taken as often as the mix takes them; no pieces.
+- repeated rows and repeated ids: of rows that are equal in text one is left, the one with the smallest id (of its
+  repeats the least row); rows that share an id but not the text are documents of their own. Null ids come last.
+- very long texts: a task holds one small batch of them.
+- no labels of one kind: nothing is toxic, unless all labels are.
 """
 
 from __future__ import annotations
