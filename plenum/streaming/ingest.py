@@ -14,7 +14,8 @@ from plenum.sources.page_text import stream_cases
 
 def first_cases(batch: DataFrame) -> DataFrame:
     """Of the lines of a stem the first: the one of the first file by name, then of the first place in it."""
-    ranked = batch.withColumn("__at", F.struct(F.col("file"), F.col("place")))
+    # Within a block of a file rows are numbered as they come.
+    ranked = batch.withColumn("__at", F.struct(F.col("file"), F.col("block"), F.monotonically_increasing_id()))
     return first_by(ranked, ["stem"], F.col("__at"), F.col("cost_ms"), F.col("error"), F.col("pages"))
 
 

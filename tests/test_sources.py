@@ -58,7 +58,7 @@ def test_packet_source_reads_files_as_partitions(spark, tmp_path):
 
 def test_of_several_lines_of_a_case_the_first_counts(spark):
     rows = [("a", 2, "f2", 0), ("a", 1, "f1", 7), ("a", 3, "f1", 9), ("b", 4, "f2", 1)]
-    batch = spark.createDataFrame(rows, "stem string, cost_ms long, file string, place int").withColumn("error", F.lit(None).cast("string")).withColumn("pages", F.array())
+    batch = spark.createDataFrame(rows, "stem string, cost_ms long, file string, block int").withColumn("error", F.lit(None).cast("string")).withColumn("pages", F.array())
     assert {r["stem"]: r["cost_ms"] for r in ingest.first_cases(batch).collect()} == {"a": 1, "b": 4}
 
 
