@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plenum.operators.running import cumulate, shared_dir, stash  # noqa: F401
+from plenum.operators.running import cumulate, lasting, scratch, shared_dir, stash  # noqa: F401
 
 #: ASCII white space, and its complement, as the contracts of the operators use it.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -21,6 +21,11 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(named(column).cast("string"), F.lit(""))
 
 
+def few_broadcast(rows: DataFrame, most: int) -> DataFrame:
+    """A written table, to be sent to every executor if it has at most `most` rows; beyond that joins shuffle."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def packed(docs: DataFrame, *more: Column) -> DataFrame:
     """(row, *more): a row's columns as one struct, so that names of our own can't clash with theirs."""
     return docs.select(F.struct(*[named(c).alias(c) for c in docs.columns]).alias("row"), *more)

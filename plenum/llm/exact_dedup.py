@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm._shared import BLANKS, least_row, named, packed, stash, text_or_empty, unpacked
+from plenum.llm._shared import BLANKS, few_broadcast, least_row, named, packed, stash, text_or_empty, unpacked
 
 #: Groups (16 bytes each) that may be sent to every executor; beyond that the lookup is a shuffled join.
 BROADCAST_GROUPS = 500_000
@@ -112,6 +112,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     stays = F.col("id").eqNullSafe(F.col("keep_id"))
     loses = ids.where(~stays).select(F.col("id").alias("i"), F.col("digest").alias("d"))
     again = ids.where(stays & (F.col("n") > 1)).select(F.col("id").alias("i"), F.col("digest").alias("d"))
+    loses = few_broadcast(stash(loses, "dedup-loses"), most)
     rows = packed(docs, named(id_col).alias("id"), F.unhex(text_digest(text)).alias("digest"))
     same = F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d"))
     rest = rows.join(loses, same, "left_anti")

@@ -24,12 +24,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plenum.llm._shared import count_words, cumulate, least_row, named, packed, stash, text_or_empty, uniform, unpacked
+from plenum.llm._shared import count_words, cumulate, few_broadcast, least_row, named, packed, stash, text_or_empty, uniform, unpacked
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
 SEED = "mix-1"
 AT_ONCE = 1_000
+#: Rows (32 bytes each) of copies to take that may be sent to every executor, so that texts stay where they are.
+BROADCAST_ROWS = 500_000
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -85,13 +87,13 @@ def _row_hash(docs: DataFrame) -> Column:
     return F.xxhash64(*[F.to_json(F.struct(named(f.name).alias("c"))) if holds_map(f) else named(f.name) for f in docs.schema])
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = WEIGHTS, most: int = MOST, seed: str = SEED, broadcast: int = BROADCAST_ROWS) -> DataFrame:
     """The input's columns, each row as often as the mix takes it."""
     slim = docs.select(named(id_col).alias("id"), _row_hash(docs).alias("h"), named(source).cast("string").alias("source"), count_words(text_or_empty(text)).alias("size"))
     counts = _copies(stash(slim, "mix-sizes"), ["id", "h"], weights, most, seed)
     # Rows alike in all columns share one entry with the copies of all of them.
     shares = counts.groupBy(F.col("id").alias("i"), F.col("h").alias("h")).agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("m"))
-    shares = stash(shares.where("n > 0"), "mix-shares")
+    shares = few_broadcast(stash(shares.where("n > 0"), "mix-shares"), broadcast)
     rows = packed(docs, named(id_col).alias("id"), _row_hash(docs).alias("key"))
     joined = rows.join(shares, F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("h")))
     times = lambda n: F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("copy")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plenum.llm._shared import least_row, named, packed, stash, text_or_empty, unpacked
+from plenum.llm._shared import few_broadcast, lasting, least_row, named, packed, scratch, stash, text_or_empty, unpacked
 from plenum.llm.components import components
 from plenum.llm.shingles import shingle_set
 
@@ -294,7 +294,12 @@ def _joining_links(members: DataFrame, entries: DataFrame, sets: DataFrame, need
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80, width: int = WIDTH, miss: float = MISS) -> DataFrame:
-    """(id, th, n, first): each row's id, hash of its text, size of its set, and the smallest id of its component."""
+    """(id, th, n, first): each row's id, hash of its text, size of its set, and the smallest id of its component. Tables made on the way are removed."""
+    with scratch(docs.sparkSession):
+        return lasting(_near_groups(docs, id_col, text, percent, width, miss), "near-groups")
+
+
+def _near_groups(docs: DataFrame, id_col: str, text: str, percent: int, width: int, miss: float) -> DataFrame:
     need = least_matches(percent / 100, miss)
     rows = stash(sketches(docs, id_col, text, width), "near-sketches")
     some = rows.where("n > 0")
@@ -317,9 +322,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
     return found.unionByName(rows.where("n = 0").select("id", "th", "n", F.col("id").alias("first")))
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80, width: int = WIDTH) -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80, width: int = WIDTH, broadcast: int = BROADCAST_DOCS) -> DataFrame:
     """The input's columns, one row of each component (the smallest id's) and all rows with empty sets."""
-    groups = stash(near_groups(docs, id_col, text, percent, width), "near-groups")
+    groups = near_groups(docs, id_col, text, percent, width)
     sets = groups.where("n > 0")
     # Of a component the row with the smallest (id, hash of the text) stays.
     stays = sets.where(F.col("id").eqNullSafe(F.col("first"))).groupBy("id").agg(F.min("th").alias("t")).withColumnRenamed("id", "i")
@@ -328,7 +333,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     again = sets.groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("i", "t")
     again = stash(again, "near-again")
     rows = packed(docs, named(id_col).alias("id"), F.xxhash64(text_or_empty(text)).alias("th"))
-    rest = rows.join(stash(loses, "near-loses"), same, "left_anti")
+    rest = rows.join(few_broadcast(stash(loses, "near-loses"), broadcast), same, "left_anti")
     if again.isEmpty():
         return unpacked(rest, docs)
     twice = rest.join(again, same, "left_semi").groupBy("id", "th").agg(least_row())
