@@ -30,7 +30,7 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 SEED = "mix-1"
 AT_ONCE = 1_000
-#: Rows (32 bytes each) of copies to take that may be sent to every executor, so that texts stay where they are.
+#: Rows (some 75 bytes each once sent) of copies to take that may be sent to every executor, so that texts stay where they are.
 BROADCAST_ROWS = 500_000
 
 
