@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plenum.operators.decide import all_fired, back_off, best_action, cascade
@@ -99,12 +100,12 @@ def payoff_attribution(spark, sf_dir):
     d = decided(spark, sf_dir)
     truth = F.when(F.col("case_id") % 3 == 0, "DENIED").when(F.col("case_id") % 7 < 3, "NEEDS_REVIEW").otherwise("APPROVED")
     d = d.select("branch", "decision", truth.alias("truth"))
-    total = d.count()
     g = d.groupBy("branch", "decision").agg(F.count(F.lit(1)).alias("n"), *[F.sum((F.col("truth") == t).cast("long")).alias(t) for t in PAYOFF])
     points = {p: sum((F.col(t) * PAYOFF[t][p] for t in PAYOFF), F.lit(0)) for p in PAYOFF}
     best = F.greatest(*points.values())
     now = F.coalesce(*[F.when(F.col("decision") == p, v) for p, v in points.items()])
-    scale = 80.0 / (8.0 * total) if total else 0.0
+    # A row per branch and decision: the total comes from these.
+    scale = F.lit(80.0) / (F.lit(8.0) * F.sum("n").over(Window.partitionBy()))
     return g.select("branch", "decision", "n", (now * scale).alias("scored"), ((best - now) * scale).alias("relabel"), ((F.col("n") * 8 - best) * scale).alias("split"))
 
 
