@@ -187,7 +187,7 @@ _LINES = """l AS (SELECT c_custkey AS k, CAST(unnest([0, 1, 2, 3]) AS INT) AS po
   CASE WHEN c_custkey % 3 = 0 THEN 'Segment: OVERRIDE' ELSE 'Nation. x' END]) AS line FROM customer)"""
 _TYPES = "g AS (SELECT p_partkey, lower(CASE WHEN p_partkey % 3 = 0 THEN substr(split_part(p_type, ' ', 1), 2, 20) WHEN p_partkey % 3 = 1 THEN translate(split_part(p_type, ' ', 1), 'OAE', 'CEO') ELSE split_part(p_type, ' ', 1) END) AS raw FROM part)"
 _OPTS = "o AS (SELECT unnest(['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD']) AS opt)"
-_PAIRLIST = "[" + ", ".join(f"'{p}'" for q in fuzzy.PAIRS for p in (q, q[::-1])) + "]"
+_PAIRLIST = "[" + ", ".join(f"'{p}'" for x, y in fuzzy.PAIRS for p in (x + y, y + x)) + "]"
 
 ORACLES = {
     "id_coerce": f"WITH {_GARBLED} SELECT k, raw, fixed FROM h",
