@@ -6,7 +6,8 @@ group by group, only while its linked documents stay within an equal share of al
 room left is no goal, so what a full shard can't take gathers in the next one, and a group larger than a shard
 ends in as few shards as hold it. A group's neighbours are counted through its bytes per shard, so no pairs of
 documents are made. The label that a linked document has after the last round is its shard; documents without
-a link only level the sizes: they are laid in a line that is cut where the shards' free room ends.
+a link only level the sizes: they are laid in a line that is cut where the shards' free room ends. Where nearly all documents are linked, what the
+start has put into a shard beyond its share joins that line too.
 
 Only DataFrame operations are used. Defined cases
 - null text: no bytes, so size 1, and the checksum of the empty text; null and empty texts are linked.
@@ -95,9 +96,17 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text: s
     linked = stash(rows.join(groups, same, "left_semi").select("id", "group", "size", "crc", start), "shard-labels")
     alone = rows.join(groups, same, "left_anti").select("id", "group", "size", "crc")
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("t")).first()["t"]
-    linked = propagate(linked, shards, total / shards, rounds, bounded)
+    share = total / shards
+    linked = propagate(linked, shards, share, rounds, bounded)
     loads = _loads(linked, shards)
-    line = cumulate(alone, [], [F.col("group")], {"bytes": F.col("size")}, "shard-line")
+    if bounded and max(loads) > share:
+        # What a shard has held beyond its share from the start goes into the line, the last groups first.
+        held = cumulate(linked, [F.col("shard")], [F.col("group"), F.col("id").asc_nulls_last(), F.col("size")], {"bytes": F.col("size")}, "shard-held")
+        held = stash(held.select("id", "group", "size", "crc", "shard", (F.col("bytes_before") + F.col("size") <= share).alias("stays")), "shard-labels")
+        linked = held.where("stays").drop("stays")
+        alone = alone.unionByName(held.where(~F.col("stays")).select("id", "group", "size", "crc"))
+        loads = _loads(linked, shards)
+    line = cumulate(alone, [], [F.col("group"), F.col("id").asc_nulls_last(), F.col("size")], {"bytes": F.col("size")}, "shard-line")
     cuts = F.array(*[F.lit(float(e)) for e in edges(loads, total - sum(loads))[:-1]]) if shards > 1 else F.array().cast("array<double>")
     place = F.size(F.filter(cuts, lambda e: e <= F.col("bytes_before") + F.col("size") / 2))
     labels = linked.unionByName(line.select("id", "group", "size", "crc", place.cast("int").alias("shard")))

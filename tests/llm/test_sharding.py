@@ -63,11 +63,19 @@ def brute(rows, shards, rounds=sharding.ROUNDS, bounded=True):
                 used[to] += r[1]
                 if used[to] <= room[to]:
                     r[4] = to
+    held, kept = Counter(), []
+    for r in sorted(linked, key=lambda r: (r[4], r[3], null_last(r[0]), r[1])):
+        held[r[4]] += r[1]
+        if held[r[4]] <= share or not bounded:
+            kept.append(r)
+        else:
+            alone.append(tuple(r[:4]))
+    alone.sort(key=lambda r: (r[3], null_last(r[0]), r[1]))
     load = Counter()
-    for r in linked:
+    for r in kept:
         load[r[4]] += r[1]
     cuts = sharding.edges([load[s] for s in range(shards)], total - sum(load.values()))[:-1]
-    at, placed = 0, [tuple(r) for r in linked]
+    at, placed = 0, [tuple(r) for r in kept]
     for r in alone:
         placed.append((*r, sum(e <= at + r[1] / 2 for e in cuts)))
         at += r[1]
@@ -127,5 +135,11 @@ def test_one_document_larger_than_a_shard(spark):
     assert sorted((tuple(r) for r in sharding.shard(frame(spark, rows)).collect()), key=repr) == brute(rows, 8)
 
 
+def test_documents_that_are_all_linked_are_levelled(spark):
+    rows = [(i, f"text number {i // 3} " * 20) for i in range(900)]
+    got = sharding.shard(frame(spark, rows)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows, 8)
+
+
 def test_level_of_loads():
     assert sharding.edges([0, 0], 10) == [5, 10] and sharding.edges([8, 0], 4) == [0, 4] and sharding.edges([3, 1, 2], 3) == [0, 2, 3]
