@@ -10,6 +10,7 @@ from plenum.llm.personal_data import op5_personal_data
 from plenum.llm.quality_rules import OP7_SQL, op7_quality_rules
 from plenum.llm.sentence_pieces import op3_sentence_pieces
 from plenum.llm.sharding import op8_shard
+from plenum.llm.token_alignment import op12_align_tokens
 from plenum.llm.token_files import op11_token_files
 from plenum.llm.toxicity import op9_toxicity
 from plenum.llm.warc import OP2_SQL, op2_warc
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_near_dedup": op10_near_dedup,
     "op11_token_files": op11_token_files,
+    "op12_align_tokens": op12_align_tokens,
 }
 
 #: DuckDB SQL where the contract's rows can be said in SQL.
