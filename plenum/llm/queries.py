@@ -13,6 +13,7 @@ from plenum.llm.sharding import op8_shard
 from plenum.llm.token_alignment import op12_align_tokens
 from plenum.llm.token_files import op11_token_files
 from plenum.llm.toxicity import op9_toxicity
+from plenum.llm.vector_codes import OP13_SQL, op13_vector_codes
 from plenum.llm.warc import OP2_SQL, op2_warc
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_near_dedup": op10_near_dedup,
     "op11_token_files": op11_token_files,
     "op12_align_tokens": op12_align_tokens,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 #: DuckDB SQL where the contract's rows can be said in SQL.
@@ -37,4 +39,5 @@ ORACLES = {
     "op4_mix": OP4_SQL,
     "op7_quality_rules": OP7_SQL,
     "op10_near_dedup": OP10_SQL,
+    "op13_vector_codes": OP13_SQL,
 }
