@@ -1,13 +1,14 @@
 """Sharding by balanced label propagation, law `bytes`: the shards' sizes are near equal.
 
 Documents with equal texts are linked. Linked documents start in a shard chosen by a hash; then, in rounds,
-each moves towards the shard that holds most of its neighbours' bytes, under a quota: a shard admits movers,
-group by group, only while its linked documents stay within an equal share of all bytes. A shard that has no
-room left is no goal, so what a full shard can't take gathers in the next one, and a group larger than a shard
-ends in as few shards as hold it. A group's neighbours are counted through its bytes per shard, so no pairs of
-documents are made. The label that a linked document has after the last round is its shard; documents without
-a link only level the sizes: they are laid in a line that is cut where the shards' free room ends. Where nearly all documents are linked, what the
-start has put into a shard beyond its share joins that line too.
+each moves towards the shard that holds most of its neighbours' bytes, under quotas for every pair of shards: what
+may go from one to another is what wants to come back, so that swaps keep sizes even, and beyond that what keeps
+the goal within its capacity, an equal share of all bytes and SLACK more. A shard that can neither take nor swap any more
+is no goal, so what it can't take gathers in the next one, and a group larger than a shard ends in as few shards as
+hold it. A group's neighbours are counted through its bytes per shard, so no pairs of documents are made. The label that a
+linked document has after the last round is its shard; documents without a link only level the sizes: they are laid
+in a line that is cut where the shards' free room ends. What a shard then holds beyond its share joins that line too, group
+by group, so that only a group on which a cut falls is parted.
 
 Only DataFrame operations are used. Defined cases
 - null text: no bytes, so size 1, and the checksum of the empty text; null and empty texts are linked.
@@ -27,8 +28,10 @@ from plenum.llm._shared import cumulate, named, stash, text_or_empty
 
 SHARDS = 8
 ROUNDS = 4
-#: A shard whose free room is below this part of its share is no goal.
-FULL = 0.005
+#: A shard that can take less than this part of its share is no goal.
+FULL = 0.05
+#: How far a shard may grow beyond its share while labels spread, as a part of the share.
+SLACK = 0.1
 
 
 def _loads(rows: DataFrame, shards: int) -> list[int]:
@@ -41,30 +44,66 @@ def _per_shard(values: Sequence, shard: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), shard + 1)
 
 
-def _moves(linked: DataFrame, room: Sequence[float], least: float) -> DataFrame:
-    """(g, s, goal): members of a group in shard s move to the goal, the shard with room that holds most of the group."""
-    held = linked.groupBy("group", "shard").agg(F.sum("size").alias("bytes"))
-    held = stash(held.select("group", "shard", F.struct("bytes", F.xxhash64("group", "shard").alias("h"), "shard").alias("rank")), "shard-held")
-    best = held.groupBy("group").agg(F.max(F.when(_per_shard([r > least for r in room], F.col("shard")), F.col("rank"))).alias("best"))
+def _moves(held: DataFrame, open_: Sequence[bool]) -> DataFrame:
+    """(g, s, goal, bytes): members of a group in shard s move to the goal, the open shard that holds most of the group."""
+    best = held.groupBy("group").agg(F.max(F.when(_per_shard(open_, F.col("shard")), F.col("rank"))).alias("best"))
     both = held.join(best.select(F.col("group").alias("g"), "best"), F.col("group") == F.col("g"))
-    return both.where(F.col("best") > F.col("rank")).select("g", F.col("shard").alias("s"), F.col("best.shard").alias("goal"))
+    found = both.where(F.col("best") > F.col("rank")).select("g", F.col("shard").alias("s"), F.col("best.shard").alias("goal"), F.col("rank.bytes").alias("bytes"))
+    return stash(found, "shard-moves")
+
+
+def _wants(moves: DataFrame, shards: int) -> list[list[int]]:
+    """Bytes that want to go from each shard to each; one row per pair of shards comes to the driver."""
+    out = [[0] * shards for _ in range(shards)]
+    for r in moves.groupBy("s", "goal").agg(F.sum("bytes").alias("b")).collect():
+        out[r["s"]][r["goal"]] = r["b"]
+    return out
+
+
+def quotas(wants: Sequence[Sequence[float]], room: Sequence[float]) -> list[list[float]]:
+    """Bytes that may go from each shard to each: as much as comes back, and more as far as the goals' room allows."""
+    shards = range(len(room))
+    even = [[float(min(wants[a][b], wants[b][a])) for b in shards] for a in shards]
+    extra = [[wants[a][b] - even[a][b] for b in shards] for a in shards]
+    for _ in range(100):
+        settled = True
+        for b in shards:
+            comes = sum(extra[a][b] for a in shards)
+            allowed = max(0.0, room[b] + sum(extra[b]))
+            if comes > allowed * (1 + 1e-9) + 1e-6:
+                settled = False
+                for a in shards:
+                    extra[a][b] *= allowed / comes
+        if settled:
+            break
+    return [[even[a][b] + extra[a][b] for b in shards] for a in shards]
 
 
 def propagate(linked: DataFrame, shards: int, share: float, rounds: int = ROUNDS, bounded: bool = True) -> DataFrame:
     """`linked` (id, group, size, crc, shard) with the labels after the rounds; `bounded` puts the quotas in force."""
     columns = ["id", "group", "size", "crc", "shard"]
     for _ in range(rounds):
-        room = [share - load for load in _loads(linked, shards)] if bounded else [float("inf")] * shards
-        moves = stash(_moves(linked, room, FULL * share), "shard-moves")
-        if moves.isEmpty():
+        held = linked.groupBy("group", "shard").agg(F.sum("size").alias("bytes"))
+        held = stash(held.select("group", "shard", F.struct("bytes", F.xxhash64("group", "shard").alias("h"), "shard").alias("rank"), F.col("bytes").alias("size")), "shard-held")
+        moves = _moves(held, [True] * shards)
+        wants = _wants(moves, shards)
+        allowed = [[float("inf")] * shards for _ in range(shards)]
+        if bounded:
+            room = [max(0.0, share * (1 + SLACK) - load) for load in _loads(held, shards)]
+            open_ = [r + sum(w) > FULL * share for r, w in zip(room, wants, strict=True)]
+            if not all(open_):
+                moves = _moves(held, open_)
+                wants = _wants(moves, shards)
+            allowed = quotas(wants, room)
+        if not any(w and q for row, most in zip(wants, allowed, strict=True) for w, q in zip(row, most, strict=True)):
             break
         # Groups are hashed anew on both sides, so that a join that meets a huge group can be split at run time.
         same = (F.xxhash64("group", "shard") == F.xxhash64("g", "s")) & (F.col("group") == F.col("g")) & (F.col("shard") == F.col("s"))
-        aims = linked.join(moves, same, "left").select(*columns, "goal")
-        order = [F.col("group"), F.col("id").asc_nulls_last(), F.col("size"), F.col("shard")]
-        asked = cumulate(aims.where("goal IS NOT NULL"), [F.col("goal")], order, {"bytes": F.col("size")}, "shard-asked")
-        admitted = F.col("bytes_before") + F.col("size") <= _per_shard(room, F.col("goal"))
-        went = asked.select("id", "group", "size", "crc", F.when(admitted, F.col("goal")).otherwise(F.col("shard")).alias("shard"))
+        aims = linked.join(moves.drop("bytes"), same, "left").select(*columns, "goal")
+        order = [F.col("group"), F.col("id").asc_nulls_last(), F.col("size")]
+        asked = cumulate(aims.where("goal IS NOT NULL"), [F.col("shard"), F.col("goal")], order, {"bytes": F.col("size")}, "shard-asked")
+        quota = _per_shard([q for row in allowed for q in row], F.col("shard") * shards + F.col("goal"))
+        went = asked.select("id", "group", "size", "crc", F.when(F.col("bytes_before") + F.col("size") <= quota, F.col("goal")).otherwise(F.col("shard")).alias("shard"))
         linked = stash(aims.where("goal IS NULL").select(*columns).unionByName(went), "shard-labels")
     return linked
 

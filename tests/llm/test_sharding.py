@@ -47,21 +47,34 @@ def brute(rows, shards, rounds=sharding.ROUNDS, bounded=True):
         for r in linked:
             load[r[4]] += r[1]
             held[r[3], r[4]] += r[1]
-        room = [share - load[s] if bounded else float("inf") for s in range(shards)]
+        room = [max(0.0, share * (1 + sharding.SLACK) - load[s]) for s in range(shards)]
         rank = {(g, s): (b, chained(g, Int(s)), s) for (g, s), b in held.items()}
-        best = {}
-        for (g, s), x in rank.items():
-            if room[s] > sharding.FULL * share:
-                best[g] = max(best.get(g, x), x)
-        goal = {(g, s): best[g][2] for (g, s), x in rank.items() if g in best and best[g] > x}
+
+        def goals(open_):
+            best = {}
+            for (g, s), x in rank.items():
+                if open_[s]:
+                    best[g] = max(best.get(g, x), x)
+            goal = {(g, s): best[g][2] for (g, s), x in rank.items() if g in best and best[g] > x}
+            wants = [[0] * shards for _ in range(shards)]
+            for (g, s), to in goal.items():
+                wants[s][to] += held[g, s]
+            return goal, wants
+
+        goal, wants = goals([True] * shards)
+        allowed = [[float("inf")] * shards for _ in range(shards)]
+        if bounded:
+            open_ = [room[s] + sum(wants[s]) > sharding.FULL * share for s in range(shards)]
+            goal, wants = goals(open_)
+            allowed = sharding.quotas(wants, room)
         if not goal:
             break
         used = Counter()
-        for r in sorted(linked, key=lambda r: (r[3], null_last(r[0]), r[1], r[4])):
+        for r in sorted(linked, key=lambda r: (r[3], null_last(r[0]), r[1])):
             to = goal.get((r[3], r[4]))
             if to is not None:
-                used[to] += r[1]
-                if used[to] <= room[to]:
+                used[r[4], to] += r[1]
+                if used[r[4], to] <= allowed[r[4]][to]:
                     r[4] = to
     held, kept = Counter(), []
     for r in sorted(linked, key=lambda r: (r[4], r[3], null_last(r[0]), r[1])):
@@ -141,5 +154,28 @@ def test_documents_that_are_all_linked_are_levelled(spark):
     assert sorted((tuple(r) for r in got), key=repr) == brute(rows, 8)
 
 
+@pytest.mark.parametrize("linked", [0.5, 0.9, 1.0])
+@pytest.mark.parametrize("several", [2, 3, 7])
+def test_few_groups_are_cut_however_many_documents_are_linked(spark, linked, several):
+    n = 400 * several
+    rows = [(i, f"text number {i // several} " * 20 if i < n * linked else f"one of its kind {i} " * 15) for i in range(n)]
+    placed = [tuple(r) for r in sharding.shard(frame(spark, rows)).collect()]
+    where, load = defaultdict(set), Counter()
+    for i, size, _, s, _ in placed:
+        load[s] += size
+        if i < n * linked:
+            where[i // several].add(s)
+    assert sum(len(s) > 1 for s in where.values()) < 0.1 * len(where)
+    assert max(load.values()) - min(load[s] for s in range(8)) <= 2 * max(r[1] for r in placed)
+
+
+def test_quotas_are_even_where_shards_are_full():
+    wants = [[0, 10, 0], [4, 0, 6], [0, 2, 0]]
+    assert sharding.quotas(wants, [0, 0, 0]) == [[0, 4, 0], [4, 0, 2], [0, 2, 0]]
+    assert sharding.quotas(wants, [100, 100, 100]) == wants
+    some = sharding.quotas(wants, [0, 3, 0])
+    assert sum(r[1] for r in some) - sum(some[1]) <= 3 + 1e-6 and some[0][1] > 4
+
+
 def test_level_of_loads():
     assert sharding.edges([0, 0], 10) == [5, 10] and sharding.edges([8, 0], 4) == [0, 4] and sharding.edges([3, 1, 2], 3) == [0, 2, 3]
