@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from plenum.functions import fuzzy, grammar, snap
 from plenum.functions.labels import NEAR, resolve_head
-from plenum.operators.evidence import LABELS
 from plenum.operators.quarantine import is_injection
 
 # The score below which a page is weak, the characters below which a value is torn, the words of
 # watermarks, and the similarity from which a head is a label.
 WEAK, TORN, LABEL_BAR = 6, 3, 0.80
 WATERMARK = r"(?i)\b(sample|denial|specimen|copy|void)\b"
+#: Labels whose values are never short, so that a short one is torn.
+LONG_VALUED = ("case id", "applicant", "purpose", "declared purpose", "species code", "home world", "visa class", "sponsor id", "arrival date", "registry name", "observed flags")
 WORDS = (*snap.VISAS, *snap.SPECIES, *snap.WORLDS, *snap.FLAGS)
 PAGE = ["case_id", "page_no"]
 
@@ -41,11 +42,15 @@ def weak_pages(lines: DataFrame, pages: DataFrame, bar: int = WEAK) -> DataFrame
 
 
 def torn_labels(lines: DataFrame, least: int = TORN) -> DataFrame:
-    """(case_id, page_no, label): labels whose longest value over all readings of the page has at most `least` characters."""
+    """(case_id, page_no, label): labels whose longest value over all readings of the page has at most `least` characters.
+
+    Only labels whose values are never short are told of, and only lines of two words or more are looked at.
+    """
     parts = F.split("line", "[:.;]", 2)
-    shown = lines.where(~is_injection(F.col("line")) & (F.size(parts) == 2)).select(*PAGE, F.lower(F.trim(F.get(parts, F.lit(0)))).alias("head"), F.length(F.regexp_replace(F.get(parts, F.lit(1)), r"\s", "")).alias("size"))
+    several = F.size(F.filter(F.split("line", r"\s+"), lambda w: w != "")) >= 2
+    shown = lines.where(~is_injection(F.col("line")) & several & (F.size(parts) == 2)).select(*PAGE, F.lower(F.trim(F.get(parts, F.lit(0)))).alias("head"), F.length(F.regexp_replace(F.get(parts, F.lit(1)), r"\s", "")).alias("size"))
     heads = shown.select("head").where("head <> ''").distinct()
-    pairs = heads.select("head", F.explode(F.array(*[F.struct(F.lit(k).alias("nth"), F.lit(x).alias("label")) for k, x in enumerate(LABELS)])).alias("x")).select("head", "x.*")
+    pairs = heads.select("head", F.explode(F.array(*[F.struct(F.lit(k).alias("nth"), F.lit(x).alias("label")) for k, x in enumerate(LONG_VALUED)])).alias("x")).select("head", "x.*")
     # Lengths alone rule most pairs out.
     fits = F.abs(F.length("head") - F.length("label")) <= (1 - LABEL_BAR) * F.greatest(F.length("head"), F.length("label"))
     near = pairs.where(fits).where(fuzzy.weighted_similarity(F.col("head"), F.col("label")) >= LABEL_BAR).groupBy(F.col("head").alias("h")).agg(F.min_by("label", "nth").alias("label"))
