@@ -1,9 +1,10 @@
-"""Token ids of whole texts by public tokenizers, remembered word by word.
+"""Token ids of whole texts by public tokenizers.
 
-A byte-level tokenizer that parts texts before a space which stands between two other characters never merges
-across that place, so a text's ids are those of its words in turn; the same holds for a piece model none of whose
-pieces spans a space mark that follows another character. Where a model's settings don't say so, each text is
-given to the library whole. What is remembered is bounded and no result depends on it.
+A byte-level tokenizer cuts a text by its pattern and merges within the parts only, so a text's ids are those of its
+parts in turn. The parts are found by the same pattern here, and the library's model encodes those that aren't
+remembered, many in a row: the bytes that each id stands for tell where a part ends. Where a model's settings, a
+special token or characters on which Unicode versions differ leave a doubt, a text is given to the library whole.
+What is remembered is bounded and no result depends on it.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ import numpy as np
 
 from plenum.llm.sentence_pieces import MARK, PieceCodec
 
-#: A space between two characters that are white space in no library's sense.
-BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-#: Words remembered in a worker, and the longest of them in characters.
-REMEMBERED = 200_000
+#: Characters outside the blocks in which old and new versions of Unicode agree on letters, numbers and white space.
+UNSURE = re.compile("[^\x00-\u0557\u2000-\u206f\u20a0-\u20bf\u2100-\u2bff\u3000-\u9fff\uac00-\ud7a3\uff00-\uffef\U0001f300-\U0001faff]")
+#: Parts remembered in a worker (twice as many at most), and the longest of them in characters.
+REMEMBERED = 30_000
 LONGEST = 48
+#: Parts that are given to a model in one text.
+TOGETHER = 1000
 #: Characters of text that are encoded at once.
 AT_ONCE = 4 << 20
 
@@ -39,23 +42,29 @@ def slices(column, most: int = AT_ONCE) -> Iterator[tuple[int, list[str]]]:
         yield first, held
 
 
-class WordMemo:
-    """Serialised ids of texts that are given as words, from a function that encodes many words at once."""
+class PartMemo:
+    """Serialised ids of texts that are given as parts, from a function that encodes many parts at once.
+
+    When it is full, what has been asked for since it last was stays a while longer.
+    """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = REMEMBERED, longest: int = LONGEST) -> None:
         self.encode, self.most, self.longest = encode, most, longest
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __call__(self, texts: list[list[str]]) -> list[bytes]:
         if len(self.known) > self.most:
-            self.known.clear()
-        known = self.known
-        new = list({w for words in texts for w in words if w not in known})
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = set().union(*texts).difference(known)
+        known.update((w, older[w]) for w in new.intersection(older))
+        new = list(new.difference(older))
         known.update(zip(new, self.encode(new), strict=True))
-        out = [b"".join(map(known.__getitem__, words)) for words in texts]
-        for word in new:
-            if len(word) > self.longest:
-                del known[word]
+        out = [b"".join(map(known.__getitem__, parts)) for parts in texts]
+        for part in new:
+            if len(part) > self.longest:
+                del known[part]
         return out
 
 
@@ -70,67 +79,107 @@ class ByteTokens:
     """Ids by a tokenizers file. `plain_specials`: special tokens' strings inside texts are plain text."""
 
     def __init__(self, path: str, plain_specials: bool = False) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        parting, model = spec.get("pre_tokenizer") or {}, spec["model"]
-        free = model.get("type") == "BPE" and not model.get("dropout") and spec.get("normalizer") is None and spec.get("post_processor") is None
-        cuts = parting.get("type") == "ByteLevel" and parting.get("use_regex", True) and not parting.get("add_prefix_space")
-        whole = any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in spec.get("added_tokens", []))
-        self.by_words = bool(free and cuts and not whole)
-        self.size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.size = max(vocabulary.values()) + 1
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        self.memo = WordMemo(self._encode)
+        self.spelled = self._spelled(vocabulary)
+        self.widths = np.array([len(x) for x in self.spelled], np.int64)
+        self.pattern, self.latin = self._patterns(spec, vocabulary)
+        added = [t["content"] for t in spec.get("added_tokens", []) if not plain_specials or not t["special"]]
+        self.special = re.compile("|".join(map(re.escape, added))).search if added else (lambda text: None)
+        # The same model without the cutting; parts are told apart by a space, which byte-level characters never are.
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        shown = {b: c for c, b in _byte_of().items()} | {0xFF: " "}  # no UTF-8 text holds this byte
+        self.shown = str.maketrans({chr(b): c for b, c in shown.items()})
+        self.memo = PartMemo(self._encode)
+
+    @staticmethod
+    def _spelled(vocabulary: dict[str, int]) -> list[bytes]:
+        byte_of, out = _byte_of(), [b""] * (max(vocabulary.values()) + 1)
+        for token, k in vocabulary.items():
+            out[k] = bytes(byte_of.get(c, 0) for c in token)
+        return out
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    @staticmethod
+    def _patterns(spec: dict, vocabulary: dict[str, int]):
+        """Functions that cut any text, and one of Latin-1, into the parts that are merged by themselves; None if the settings leave a doubt."""
+        parting, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        free = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+        plain = spec.get("normalizer") is None and spec.get("post_processor") is None and all(c in vocabulary for c in _byte_of())
+        cuts = parting.get("type") == "ByteLevel" and parting.get("use_regex", True) and not parting.get("add_prefix_space")
+        if not (free and plain and cuts):
+            return None, None
+        import public_tokenizers
+        import regex
+
+        pattern = public_tokenizers.PATTERN
+        # Classes spelled out are found faster, and letters first: no other alternative begins as theirs do.
+        letters, numbers, spaces = ("".join(re.escape(chr(c)) for c in range(256) if regex.match(k, chr(c))) for k in (r"\p{L}", r"\p{N}", r"\s"))
+        latin = "|".join(sorted(pattern.split("|"), key=lambda x: not x.startswith(r" ?\p")))
+        latin = latin.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]").replace(r"\S", f"[^{spaces}]")
+        latin = latin.replace(r"\s", f"[{spaces}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
+        return regex.compile(pattern).findall, re.compile(latin).findall
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for k in range(0, len(parts), TOGETHER):
+            raw = [p.encode("utf-8", "replace") for p in parts[k : k + TOGETHER]]
+            shown = b"\xff".join(raw).decode("latin-1").translate(self.shown)
+            ids = np.asarray(self.bare.encode_batch_fast([shown], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum([len(x) for x in raw])) + 1
+            data, width, at = ids.tobytes(), self.dtype.itemsize, 0
+            for end in (ends * width).tolist():
+                out.append(data[at:end])
+                at = end
+        return out
 
-    def words(self, text: str) -> list[str]:
-        if not self.by_words:
-            return [text]
-        first, *rest = BETWEEN.split(text)
-        return [first, *[" " + w for w in rest]]
+    def parts(self, text: str) -> list[str] | None:
+        """None if the text is to be encoded whole."""
+        if self.pattern is None or self.special(text):
+            return None
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None if UNSURE.search(text) else self.pattern(text)
+        return self.latin(text)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(x, self.dtype) for x in self.memo([self.words(t) for t in texts])]
+        parted = [self.parts(t) for t in texts]
+        made = self.memo([p or [] for p in parted])
+        return [np.frombuffer(self._whole(t) if p is None else x, self.dtype) for t, p, x in zip(texts, parted, made, strict=True)]
 
     def token_bytes(self) -> list[bytes]:
         """What each id stands for."""
-        byte_of, out = _byte_of(), [b""] * self.size
-        for token, k in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            out[k] = bytes(byte_of[c] for c in token)
-        return out
+        return self.spelled
 
 
 class PieceTokens:
-    """Ids by a piece model, without begin or end ids."""
+    """Ids by a piece model, without begin or end ids. The library is fast on whole texts, so nothing is remembered."""
 
     def __init__(self, path: str) -> None:
         self.codec = PieceCodec(path)
-        plain = not self.codec.normalize.map.units and not self.codec.normalize.squeeze and self.codec.normalize.prefix
-        self.by_words = bool(plain and self.codec.cut(f"a{MARK}", 0))
+        self.plain = not self.codec.normalize.map.units and not self.codec.normalize.squeeze and self.codec.normalize.prefix
         self.size = self.codec.whole.get_piece_size()
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        self.memo = WordMemo(self._encode)
-
-    def _ids(self, word: str) -> bytes:
-        if not self.by_words:
-            return self.codec.encode(word).ids.astype(self.dtype).tobytes()
-        parts = self.codec.parts(MARK + word.replace(" ", MARK))
-        return b"".join(self.codec.merger.encode_as_numpy(x).astype(self.dtype).tobytes() for x in parts)
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [self._ids(w) for w in words]
 
-    def words(self, text: str) -> list[str]:
-        """Words without the space that stands before each of them; a mark in the text is no place to part at."""
-        return [] if not text else BETWEEN.split(text) if self.by_words and MARK not in text else [text]
+    def _ids(self, text: str) -> np.ndarray:
+        if not text or not self.plain:
+            return self.codec.encode(text).ids
+        parts = [self.codec.merger.encode_as_numpy(x) for x in self.codec.parts(MARK + text.replace(" ", MARK))]
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(x, self.dtype) for x in self.memo([self.words(t) for t in texts])]
+        return [self._ids(t).astype(self.dtype) for t in texts]
 
     def token_bytes(self) -> list[bytes]:
         """What each id stands for: byte pieces their byte, marks a space."""

@@ -1,6 +1,7 @@
 """Token files against the tokenizers library itself, and their parts one by one."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 import zstandard
 
 from plenum.llm import token_files, word_tokens
+from plenum.llm.sentence_pieces import default_model
 
 SCHEMA = "doc_id long, text string, id int, start int, frame string, `path` string"
 TEXTS = [
@@ -114,13 +116,35 @@ def test_a_shared_dictionary_makes_short_documents_smaller():
     assert token_files.train([]) == b"" and token_files.train([b"ab", b"cd"]) == b"abcd"
 
 
-def test_words_remembered_are_bounded_and_change_nothing():
+def test_parts_remembered_are_bounded_and_change_nothing():
     tokens, tok = word_tokens.ByteTokens(token_files.default_tokenizer()), library()
     tokens.memo.most = 10
     texts = [t or "" for t in TEXTS]
     for _ in range(3):
         assert [x.tolist() for x in tokens(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
     assert all(len(w) <= tokens.memo.longest for w in tokens.memo.known)
-    pieces = word_tokens.PieceTokens(__import__("plenum.llm.sentence_pieces", fromlist=["x"]).default_model())
-    assert pieces.by_words and tokens.by_words
+    assert tokens.parts("plain") and tokens.parts("a <|endoftext|>") is None and tokens.parts("\u0558") is None
+    pieces = word_tokens.PieceTokens(default_model())
+    assert pieces.plain
     assert [x.tolist() for x in pieces(texts)] == [pieces.codec.whole.encode(t) for t in texts]
+
+
+def test_random_texts_of_odd_characters():
+    rng, tok = random.Random(12), library()
+    plain = word_tokens.ByteTokens(token_files.default_tokenizer(), plain_specials=True)
+    tokens, pieces = word_tokens.ByteTokens(token_files.default_tokenizer()), word_tokens.PieceTokens(default_model())
+    odd = list("ab  \n\t'sé.,-1²数\u2028\xa0\x1c▁𐐀\u0558🦄") + ["'ll", "<|endoftext|>", "  ", "the", "\r\n"]
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randrange(60))) for _ in range(400)]
+    assert [x.tolist() for x in tokens(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in pieces(texts)] == [pieces.codec.whole.encode(t) for t in texts]
+    tok.encode_special_tokens = True
+    assert [x.tolist() for x in plain(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_the_pattern_cuts_every_sure_character_as_the_library_does():
+    tok, own = library(), word_tokens.ByteTokens(token_files.default_tokenizer())
+    sure = [c for c in map(chr, (*range(0xD800), *range(0xE000, 0x20000))) if not word_tokens.UNSURE.search(c)]
+    assert len(sure) > 35_000
+    for c in sure:
+        text = f"a{c}1{c}. {c}  {c}"
+        assert [text[p:q] for _, (p, q) in tok.pre_tokenizer.pre_tokenize_str(text)] == own.parts(text), repr(c)
