@@ -86,20 +86,16 @@ class Transducer:
 
     def groups(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
         """How many tokens of A and of B have been read when each group closes."""
-        start, at_a, at_b = self.start, 0, 0
-        ends_a, ends_b = [], []
-        while at_a < len(a):
-            state = start[a[at_a]]
-            at_a += 1
-            while state is not start:
-                if state.leads:
-                    state = state[a[at_a]]
-                    at_a += 1
-                else:
-                    state = state[b[at_b]]
-                    at_b += 1
-            ends_a.append(at_a)
-            ends_b.append(at_b)
+        start = state = self.start
+        at_b, ends_a, ends_b = 0, [], []
+        for at_a, token in enumerate(a, 1):
+            state = state[token]
+            while not state.leads:
+                state = state[b[at_b]]
+                at_b += 1
+            if state is start:
+                ends_a.append(at_a)
+                ends_b.append(at_b)
         return ends_a, ends_b
 
 
