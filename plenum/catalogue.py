@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from plenum.plans import comparisons, decisions, evaluations, orders, packet_queries, texts, votes
+from plenum.plans import comparisons, decisions, evaluations, orders, packet_queries, rasters, texts, votes
 
-_GROUPS = (decisions, votes, evaluations, texts, orders, comparisons, packet_queries)
+_GROUPS = (decisions, votes, evaluations, texts, orders, comparisons, packet_queries, rasters)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
