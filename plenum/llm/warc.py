@@ -3,9 +3,8 @@
 The writer makes one archive per partition in a shared folder; a retried task writes anew under another
 name and only the files of tasks that succeeded are listed in the manifest it returns.
 The reader divides archives into byte ranges. A task looks in its range for the gzip magic; a place may be a
-record's start if a gzip header and deflate stream begin there that decode to a WARC version line, and if
-its member is followed by another magic or the end of the file. An archive stored inside a record has such
-places too. So a range first tells, for each of them, where the records that begin there leave the range; the
+record's start if a gzip header and deflate stream begin there that decode to a WARC version line; what follows its
+member decides nothing. An archive stored inside a record has such places too. So a range first tells, for each of them, where the records that begin there leave the range; the
 exit of one range is the entry of the next, and following these from the archive's start, a row per range, shows
 where each range is to be read from (archives of one range are read at once). A task owns the records that start
 in its range and reads on past its end to finish the last one. After a damaged member the next place that may be
@@ -16,6 +15,8 @@ Defined cases
 - of payloads that are equal and at least `least` bytes long the one with the largest id is the response,
   the others revisit it; where all ids are null, all are responses. Rows that repeat the response's id are
   responses too.
+- records of other writers: an id that isn't one of ours, and a digest that is missing or no SHA-1 (base 32 or hexadecimal),
+  are null; without a usable Content-Length the block is what the member holds; records of other types are left out.
 - extra columns are ignored. Very long payloads: a task holds one record at a time.
 """
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -52,7 +54,23 @@ def _urn(page_id: int | None, digest: str) -> str:
 
 
 def _page_of(urn: str | None) -> int | None:
-    return int(urn[10:-1]) if urn and urn.startswith("<urn:page:") else None
+    found = re.fullmatch(r"<urn:page:(-?[0-9]{1,18})>", urn or "")
+    return int(found[1]) if found else None
+
+
+def _sha1_of(said: str | None) -> str | None:
+    """A payload digest in hexadecimal; null if it is none, or of another algorithm."""
+    name, _, value = (said or "").partition(":")
+    if name.strip().lower() != "sha1":
+        return None
+    value = value.strip()
+    if re.fullmatch("[0-9a-fA-F]{40}", value):
+        return value.lower()
+    return base64.b32decode(value.upper()).hex() if re.fullmatch("[A-Za-z2-7]{32}", value) else None
+
+
+def _whole(said: str | None) -> int | None:
+    return int(said) if said and re.fullmatch("[0-9]{1,18}", said) else None
 
 
 def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
@@ -86,14 +104,15 @@ def parse_record(data: bytes) -> tuple | None:
     kind = named.get("warc-type")
     if kind not in ("response", "revisit"):
         return None
-    block = rest[: int(named["content-length"])]
+    length = _whole(named.get("content-length"))
+    block = rest[:length] if length is not None else rest.removesuffix(b"\r\n\r\n")
     http, _, payload = block.partition(b"\r\n\r\n")
     if kind == "response":
         size, digest = len(payload), hashlib.sha1(payload).hexdigest()
     else:
         fields = [x.partition(b":") for x in http.split(b"\r\n")[1:]]
-        size = next((int(v) for k, _, v in fields if k.strip().lower() == b"content-length"), 0)
-        digest = base64.b32decode(named["warc-payload-digest"].removeprefix("sha1:")).hex()
+        size = next((_whole(v.strip().decode("latin-1")) for k, _, v in fields if k.strip().lower() == b"content-length"), 0)
+        digest = _sha1_of(named.get("warc-payload-digest"))
     return _page_of(named.get("warc-record-id")), named.get("warc-target-uri"), size, digest, kind, _page_of(named.get("warc-refers-to")), payload if kind == "response" else None
 
 
@@ -132,11 +151,8 @@ def _member(window: _Window, at: int) -> tuple[bytes, int] | None:
             size += len(got)
     except zlib.error:
         return None
-    end = window.base + pos - len(unpack.unused_data)
-    while len(window.data) - (end - window.base) < len(MAGIC) and window.more():
-        pass
-    after = window.data[end - window.base : end - window.base + len(MAGIC)]
-    return (b"".join(out), end) if not after or after == MAGIC else None
+    record = b"".join(out)
+    return (record, window.base + pos - len(unpack.unused_data)) if record.startswith(b"WARC/") else None
 
 
 def _records(path: str, start: int, end: int) -> Iterator[tuple[int, bytes, int]]:

@@ -176,6 +176,45 @@ def test_warc_reader_goes_on_after_damage(spark, tmp_path):
         assert sorted(r["page_id"] for r in warc.read_warc(manifest, split=split).collect()) == [0, 1, 2, 3, *range(5, 12)], split
 
 
+def gzipped(text):
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return packer.compress(text.encode()) + packer.flush()
+
+
+def test_warc_records_of_other_writers(spark, tmp_path):
+    body = "HTTP/1.1 200 OK\r\n\r\nhello"
+    sha = hashlib.sha1(b"x").hexdigest()
+    head = lambda kind, *more: "\r\n".join(["WARC/1.0", f"WARC-Type: {kind}", *more]) + "\r\n\r\n"
+    foreign = [
+        head("warcinfo", "Content-Length: 2") + "hi\r\n\r\n",
+        head("response", "WARC-Record-ID: <urn:page:7>") + body + "\r\n\r\n",
+        head("response", "WARC-Record-ID: <urn:page:x>", "Content-Length: many") + body + "\r\n\r\n",
+        head("response", "WARC-Record-ID: <urn:uuid:1>", f"Content-Length: {len(body)}") + body + "\r\n\r\n",
+        head("revisit", "Content-Length: 0") + "\r\n\r\n",
+        head("revisit", "WARC-Payload-Digest: md5:abc", "WARC-Refers-To: <urn:page:>", "Content-Length: 0") + "\r\n\r\n",
+        head("revisit", f"WARC-Payload-Digest: sha1:{sha}", "WARC-Refers-To: <urn:page:3>", "Content-Length: 0") + "\r\n\r\n",
+        head("revisit", "WARC-Payload-Digest: sha1:!!!", "Content-Length: 0") + "\r\n\r\n",
+    ]
+    hello = hashlib.sha1(b"hello").hexdigest()
+    data = warc.record_bytes(1, "u", b"first", None, "d") + b"\0\0\0\0" + b"".join(gzipped(x) + b"\0" * (k % 3) for k, x in enumerate(foreign)) + warc.record_bytes(2, "u", b"last", None, "d") + b"\0\0\0\0"
+    path = tmp_path / "foreign.warc.gz"
+    path.write_bytes(data)
+    want = [(1, 5, hashlib.sha1(b"first").hexdigest(), "response", None), (7, 5, hello, "response", None), (None, 5, hello, "response", None), (None, 5, hello, "response", None)]
+    want += [(None, 0, None, "revisit", None), (None, 0, None, "revisit", None), (None, 0, sha, "revisit", 3), (None, 0, None, "revisit", None), (2, 4, hashlib.sha1(b"last").hexdigest(), "response", None)]
+    for split in (len(data), 400, 90):
+        got = warc.read_warc(spark.createDataFrame([(f"file://{path}", len(data))], "path string, bytes long"), split=split).collect()
+        assert sorted(map(repr, ((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got))) == sorted(map(repr, want)), split
+
+
+def test_warc_empty_tables_null_and_repeated_ids(spark, tmp_path):
+    schema = "page_id long, url string, html string, path string, bytes int"
+    rows = [(None, None, None, "p", 1), (None, "u", "y" * 2000, "p", 1), (None, "u", "y" * 2000, "p", 1), (4, "u", "z" * 2000, "p", 1), (4, "u", "z" * 2000, "p", 1)]
+    got = warc.read_warc(warc.write_warc(spark.createDataFrame(rows, schema), f"file://{tmp_path}/w")).collect()
+    assert sorted((r["payload_bytes"], r["record_type"]) for r in got) == [(0, "response"), *[(2000, "response")] * 4]
+    empty = warc.write_warc(spark.createDataFrame([], schema), f"file://{tmp_path}/e")
+    assert empty.count() == 0 and warc.read_warc(empty).count() == 0
+
+
 def test_warc_extra_columns_and_a_long_payload(spark, tmp_path):
     html = "long page \n" * 400_000
     df = spark.createDataFrame([(1, "u", html, 1.5), (2, "u", html, None)], "page_id long, url string, html string, `a.b` double")
