@@ -4,6 +4,7 @@ Texts are equal when they are identical after every run of ASCII white space is
 a null text counts as empty. Candidates are narrowed three times: rows are grouped by the length of the
 normalised text, the groups that hold more than one row by a hash of its first characters, and only the
 rows of groups that still hold more than one have their whole text hashed (SHA-256) and compared.
+`exact_groups_with_digests` is asked for every row's digest, so there the hash is made in the scan and only compared less.
 
 Defined cases
 - empty table: empty result. Empty and null texts: equal to each other.
@@ -60,10 +61,15 @@ def _same_group() -> Column:
     return (F.col("len") == F.col("l")) & (F.col("head") == F.col("h"))
 
 
-def _full_hashes(docs: DataFrame, id_col: str, text: str, prefix: int, most: int) -> tuple[DataFrame, DataFrame]:
-    """((id) of rows ruled out before their content was compared, (id, digest) of the rows left)."""
+def _narrowed(docs: DataFrame, id_col: str, text: str, prefix: int, most: int) -> tuple[DataFrame, DataFrame, bool]:
+    """(outline, groups that hold more than one row, whether they are few)."""
     outline = stash(_outline(docs, id_col, text, prefix), "dedup-outline")
-    groups, few = _candidates(outline, most)
+    return outline, *_candidates(outline, most)
+
+
+def _full_hashes(docs: DataFrame, id_col: str, text: str, prefix: int, narrowed: tuple[DataFrame, DataFrame, bool]) -> tuple[DataFrame, DataFrame]:
+    """((id) of rows ruled out before their content was compared, (id, digest) of the rows left)."""
+    outline, groups, few = narrowed
     apart = outline.join(groups, _same_group(), "left_anti").select("id")
     if few:
         rows = _outline(docs, id_col, text, prefix, "norm")
@@ -90,7 +96,7 @@ def _grouped(apart: DataFrame, left: DataFrame, *more: str) -> DataFrame:
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", prefix: int = 64, most: int = BROADCAST_GROUPS) -> DataFrame:
     """One row per input row: id_col, keep_id, group_size (long), kept."""
-    found = _grouped(*_full_hashes(docs, id_col, text, prefix, most))
+    found = _grouped(*_full_hashes(docs, id_col, text, prefix, _narrowed(docs, id_col, text, prefix, most)))
     return found.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept")
 
 
@@ -104,16 +110,29 @@ def exact_groups_with_digests(docs: DataFrame, id_col: str = "doc_id", text: str
     return made.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def _packed_with_digests(docs: DataFrame, id_col: str, text: str, prefix: int, narrowed: tuple[DataFrame, DataFrame, bool]) -> DataFrame:
+    """(row, id, digest): only rows of groups that hold others have their whole text hashed, while such groups are few enough to be
+    sent out; beyond that every row is hashed in the scan, so that hashes are shuffled and texts are not."""
+    _, groups, few = narrowed
+    if not few:
+        return packed(docs, named(id_col).alias("id"), F.unhex(text_digest(text)).alias("digest"))
+    rows = packed(docs, named(id_col).alias("id"), normalised(text).alias("norm"))
+    rows = rows.select("row", "id", "norm", F.length("norm").alias("len"), F.xxhash64(F.substring("norm", 1, prefix)).alias("head"))
+    told = rows.join(F.broadcast(groups), _same_group(), "left")
+    return told.select("row", "id", F.when(F.col("l").isNotNull(), F.unhex(F.sha2(F.col("norm").cast("binary"), 256))).alias("digest"))
+
+
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", prefix: int = 64, most: int = BROADCAST_GROUPS) -> DataFrame:
     """The input's columns, one row for each group of equal texts (the smallest id's; of its repeats, the least row)."""
-    _, left = _full_hashes(docs, id_col, text, prefix, most)
+    narrowed = _narrowed(docs, id_col, text, prefix, most)
+    _, left = _full_hashes(docs, id_col, text, prefix, narrowed)
     copies = stash(_copies(left).where("group_size > 1"), "dedup-copies")
     ids = copies.groupBy("id", "digest", "keep_id").agg(F.count(F.lit(1)).alias("n"))
     stays = F.col("id").eqNullSafe(F.col("keep_id"))
     loses = ids.where(~stays).select(F.col("id").alias("i"), F.col("digest").alias("d"))
     again = ids.where(stays & (F.col("n") > 1)).select(F.col("id").alias("i"), F.col("digest").alias("d"))
     loses = few_broadcast(stash(loses, "dedup-loses"), most)
-    rows = packed(docs, named(id_col).alias("id"), F.unhex(text_digest(text)).alias("digest"))
+    rows = _packed_with_digests(docs, id_col, text, prefix, narrowed)
     same = F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d"))
     rest = rows.join(loses, same, "left_anti")
     if again.isEmpty():
