@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from plenum.operators import evaluate, recurrence
+from plenum.operators import evaluate, folds, recurrence
 from plenum.plans.decisions import decided
 from plenum.plans.stand_ins import CASE_FACTS
 from plenum.session import table
@@ -158,9 +158,29 @@ def out_of_fold(spark, sf_dir):
     return g.select("c_mktsegment", "fold", rest.alias("fitted_cents"))
 
 
+def rules_out_of_fold(spark, sf_dir):
+    """D40 with D20, D21: each fold's rules are mined on the other folds and tried on the one left out."""
+    l = table(spark, sf_dir, "lineitem").withColumn("fold", (F.col("l_orderkey") % 5).cast("int"))  # noqa: E741
+    ok = F.col("l_discount") <= 0.09
+    known = F.col("l_returnflag") != "N"
+    states = l.groupBy("l_suppkey", "fold").agg(F.count(F.lit(1)).alias("n"), F.bool_and(ok).alias("every"), F.count_if(known).alias("known"), F.bool_and(F.when(known, ok)).alias("every_known"), F.count_if(ok).alias("held"), F.collect_set("l_linestatus").alias("seen"))
+    rest = folds.complement(states, ["l_suppkey"], "fold", {"n": "sum", "every": "and", "known": "sum", "every_known": "and", "seen": "union"})
+    rule = F.when((F.coalesce("rest_n", F.lit(0)) >= 6) & F.col("rest_every"), "full").when((F.coalesce("rest_known", F.lit(0)) >= 4) & F.col("rest_every_known"), "partial")
+    return rest.select("l_suppkey", "fold", F.col("n").alias("tried"), "held", rule.alias("rule"), F.array_join(F.sort_array(F.coalesce("rest_seen", F.array().cast("array<string>"))), "|").alias("seen"))
+
+
+def gaps_out_of_fold(spark, sf_dir):
+    """D40 with D22: the largest gap between distinct dates, fold by fold without the fold's own rows, and on which side of its middle they lie."""
+    o = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"), (F.col("o_orderkey") % 5).cast("int").alias("fold"))
+    gaps = folds.largest_gaps(o, "day", "fold", 5)
+    tried = o.join(F.broadcast(gaps.withColumnRenamed("fold", "f")), F.col("fold") == F.col("f"))
+    middle = F.date_add("lo", F.floor(F.col("gap") / 2).cast("int"))
+    return tried.groupBy("fold", F.date_format("lo", "yyyy-MM-dd").alias("lo"), "gap").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("day") <= middle).alias("before"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (recurring_entities, recurring_abstain, corpus_revision, shrunken_accuracy, cell_refinement, lift_mining, label_xtab, brier_calibration, nearest_rank_pct, index_percentiles, runtime_stats, max_gap_midpoint, replay_diff, rule_mining_all, drift_audit, top_escapes, headroom_transfer, margin_precision, oracle_ceilings, out_of_fold)
+    for f in (recurring_entities, recurring_abstain, corpus_revision, shrunken_accuracy, cell_refinement, lift_mining, label_xtab, brier_calibration, nearest_rank_pct, index_percentiles, runtime_stats, max_gap_midpoint, replay_diff, rule_mining_all, drift_audit, top_escapes, headroom_transfer, margin_precision, oracle_ceilings, out_of_fold, rules_out_of_fold, gaps_out_of_fold)
 }
 
 _K = "SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 20 = 0 THEN o_custkey % 6 ELSE 1000000 + o_orderkey END AS k FROM orders"
@@ -179,6 +199,13 @@ _ACC = f"""{_LAB}, cp AS (SELECT guess, avg((guess = quality)::INT) AS p FROM la
 _RANK = "SELECT {g} q, pick FROM (SELECT {g} q, CAST(round_even(q / 100.0::DOUBLE * (n - 1), 0) AS BIGINT) AS place, vs FROM (SELECT {g} count(*) AS n, list_sort(list({v})) AS vs FROM {t} {by}), (SELECT unnest([{q}]) AS q)), LATERAL (SELECT vs[place + 1] AS pick)"
 
 ORACLES = {
+    "rules_out_of_fold": """WITH l AS (SELECT l_suppkey AS s, CAST(l_orderkey % 5 AS INT) AS fold, l_discount <= 0.09 AS ok, l_returnflag <> 'N' AS known, l_linestatus AS st FROM lineitem),
+        g AS (SELECT s, fold, count(*) AS tried, count(*) FILTER (ok) AS held FROM l GROUP BY s, fold),
+        r AS (SELECT g.s, g.fold, count(*) AS n, bool_and(ok) AS every, count(*) FILTER (known) AS k, bool_and(ok) FILTER (known) AS ek, string_agg(DISTINCT st, '|' ORDER BY st) AS seen FROM g JOIN l ON l.s = g.s AND l.fold <> g.fold GROUP BY g.s, g.fold)
+        SELECT g.s AS l_suppkey, g.fold, tried, held, CASE WHEN n >= 6 AND every THEN 'full' WHEN k >= 4 AND ek THEN 'partial' END AS rule, coalesce(seen, '') AS seen FROM g LEFT JOIN r USING (s, fold)""",
+    "gaps_out_of_fold": """WITH o AS (SELECT CAST(o_orderdate AS DATE) AS day, CAST(o_orderkey % 5 AS INT) AS fold FROM orders), d AS (SELECT DISTINCT f AS fold, day FROM o, range(5) t(f) WHERE o.fold <> f),
+        g AS (SELECT fold, day, lead(day) OVER (PARTITION BY fold ORDER BY day) - day AS gap FROM d), b AS (SELECT fold, max({'gap': gap, 'lo': day}) AS b FROM g WHERE gap IS NOT NULL GROUP BY fold)
+        SELECT o.fold, strftime(b.lo, '%Y-%m-%d') AS lo, CAST(b.gap AS INT) AS gap, count(*) AS n, count(*) FILTER (day <= b.lo + CAST(floor(b.gap / 2) AS INT)) AS before FROM o JOIN b USING (fold) GROUP BY o.fold, b.lo, b.gap""",
     "recurring_entities": f"WITH {_recurring(_K)} SELECT k, n AS occurrences FROM flagged",
     "recurring_abstain": f"WITH {_recurring('SELECT o_custkey AS k FROM orders')} SELECT k AS o_custkey, n AS occurrences FROM flagged",
     "corpus_revision": f"""WITH {CASE_FACTS}, kk AS ({_K}), {_recurring(_K)}, j AS (SELECT d.case_id, d.decision, d.branch, f.k IS NOT NULL AND kk.o_orderpriority <> '5-LOW' AND d.branch NOT IN ('adjudicator_finding', 'disqualifying_flag') AND d.case_id % 11 <> 0 AND d.decision <> 'DENIED' AS hit

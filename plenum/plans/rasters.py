@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plenum.operators import raster
+from plenum.operators import raster, spans
 from plenum.session import table
 
 #: Rows of an image, and the width of the pages made from orders.
@@ -76,7 +76,24 @@ def page_skews(spark, sf_dir):
     return raster.skews(_page(spark, sf_dir).select("image", (F.col("y") + tilt).alias("y"), "x"))
 
 
-QUERIES = {f.__name__: f for f in (local_ink, page_faintness, border_offsets, realigned_rows, seam_shifts, page_skews)}
+def span_lines(spark, sf_dir):
+    """Spans of pages, here line items; strokes, here orders; lines with what is seen, hidden and struck out."""
+    l = table(spark, sf_dir, "lineitem")  # noqa: E741
+    page = F.floor(F.col("l_orderkey") / 50)
+    x, y = (F.col("l_partkey") % 400).cast("double"), (F.col("l_orderkey") % 50 * 14).cast("double")
+    color = F.when(F.col("l_linenumber") % 5 == 2, 16777215 - (F.col("l_suppkey") % 20) * 65793).otherwise(F.col("l_partkey") * 40503 % 16777216).cast("int")
+    seq = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
+    text = F.when(F.col("l_partkey") % 17 == 0, " ").otherwise(F.concat(F.lit("part "), F.col("l_partkey").cast("string")))
+    made = l.select(page.alias("page"), F.col("l_orderkey").alias("line"), seq.alias("seq"), text.alias("text"), color.alias("color"), (F.col("l_discount") * 100 + 1).alias("size"), x.alias("x0"), y.alias("y0"), (x + F.col("l_quantity") * 4).alias("x1"), (y + 10).alias("y1"))
+    o = table(spark, sf_dir, "orders")
+    sx, sy = (F.col("o_custkey") % 400).cast("double"), (F.col("o_orderkey") % 50 * 14 + F.col("o_custkey") % 16 - 3).cast("double")
+    shade = (F.col("o_orderkey") % 10) / 10
+    drawn = o.where("o_orderkey % 3 <> 0").select(F.floor(F.col("o_orderkey") / 50).alias("page"), (1 - shade / 2).alias("r"), shade.alias("g"), (shade / 2).alias("b"), (F.col("o_orderkey") % 7 != 1).alias("straight"), sx.alias("x0"), sy.alias("y0"), (sx + F.col("o_custkey") % 60).alias("x1"), (sy + F.col("o_orderkey") % 6).alias("y1"))
+    pages = l.select(page.alias("page")).distinct().select("page", F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(380.0).alias("x1"), F.lit(690.0).alias("y1"))
+    return spans.page_lines(made, drawn, pages)
+
+
+QUERIES = {f.__name__: f for f in (local_ink, page_faintness, border_offsets, realigned_rows, seam_shifts, page_skews, span_lines)}
 
 _GRAY = f"""e AS (SELECT vec_id, CAST(unnest(range(len(embedding))) AS INT) AS x, unnest(embedding)::DOUBLE AS c FROM embeddings),
 b AS (SELECT CAST(floor(vec_id / {TALL}.0) AS BIGINT) AS image, CAST(vec_id % {TALL} AS INT) AS y, x, CAST(least(greatest(floor(128 + 256 * CASE WHEN c IS NULL OR isnan(c) THEN 0.5::DOUBLE ELSE c END), 0), 255) AS INT) AS v FROM e),
@@ -130,5 +147,12 @@ w AS (SELECT image, first, last, list(a::DOUBLE ORDER BY x) AS a, list(b::DOUBLE
 s AS (SELECT w.*, lag, ([(b[CAST((i - lag + {10 * WIDE}) % {WIDE} AS INT) + 1]) * a[i + 1] FOR i IN range({WIDE})]) AS pr FROM w, (SELECT unnest({_LAGS}) AS lag)),
 t AS (SELECT image, first, last, lag, list_sum(a) AS up, list_sum(b) AS down, (list_sum(pr) - list_sum(b) * list_sum(a) / {WIDE}) / CASE WHEN sqrt((list_sum([x * x FOR x IN b]) - list_sum(b) * list_sum(b) / {WIDE}) * (list_sum([x * x FOR x IN a]) - list_sum(a) * list_sum(a) / {WIDE})) = 0 THEN 1 ELSE sqrt((list_sum([x * x FOR x IN b]) - list_sum(b) * list_sum(b) / {WIDE}) * (list_sum([x * x FOR x IN a]) - list_sum(a) * list_sum(a) / {WIDE})) END AS c FROM s)
 SELECT image, first, last, CAST(arg_min(lag, (-c, lag)) AS INT) AS lag, round(max(c), 9) AS correlation, any_value(up) >= 40 AND any_value(down) >= 40 AND max(c) >= 0.4 AND abs(arg_min(lag, (-c, lag))) < 150 AS counts FROM t GROUP BY image, first, last""",
+    "span_lines": """WITH s AS (SELECT CAST(floor(l_orderkey / 50.0) AS BIGINT) AS page, l_orderkey AS line, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS seq, CASE WHEN l_partkey % 17 = 0 THEN ' ' ELSE 'part ' || l_partkey END AS t,
+  CAST(CASE WHEN l_linenumber % 5 = 2 THEN 16777215 - (l_suppkey % 20) * 65793 ELSE l_partkey * 40503 % 16777216 END AS INT) AS c, l_discount * 100 + 1 AS z, (l_partkey % 400)::DOUBLE AS x0, (l_orderkey % 50 * 14)::DOUBLE AS y0, l_partkey % 400 + l_quantity * 4 AS x1, (l_orderkey % 50 * 14 + 10)::DOUBLE AS y1 FROM lineitem),
+k AS (SELECT CAST(floor(o_orderkey / 50.0) AS BIGINT) AS page, (o_orderkey % 10) / 10.0::DOUBLE AS g, o_custkey % 400 AS x0, o_custkey % 400 + o_custkey % 60 AS x1, o_orderkey % 50 * 14 + o_custkey % 16 - 3 AS y0, o_orderkey % 6 AS h FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 7 <> 1),
+r AS (SELECT page, x0, x1, y0 + h / 2.0::DOUBLE AS m FROM k WHERE 1 - g / 2 > 0.5 AND g < 0.45 AND g / 2 < 0.45 AND h < 4 AND x1 - x0 > 3),
+u AS (SELECT *, ((c >> 16) & 255 > 240 AND (c >> 8) & 255 > 240 AND c & 255 > 240) OR z < 2 OR NOT (greatest(x0, 0) < least(x1, 380) AND greatest(y0, 0) < least(y1, 690)) AS unseen FROM s WHERE trim(t) <> '')
+SELECT page, line, trim(string_agg(t, ' ' ORDER BY seq) FILTER (NOT unseen)) AS visible, trim(string_agg(t, ' ' ORDER BY seq) FILTER (unseen)) AS hidden,
+       bool_or(NOT unseen AND EXISTS (SELECT 1 FROM r WHERE r.page = u.page AND r.x0 <= u.x1 AND r.x1 >= u.x0 AND r.m BETWEEN u.y0 - 2 AND u.y1 + 2)) AS struck FROM u GROUP BY page, line""",
     "page_skews": f"WITH {_PAGE}, k(i, t) AS (VALUES {_ANGLES}), pt AS (SELECT image, i, CAST(round_even(y + CAST(floor((image % 5 - 2) * x / 20.0) AS INT) - x * t, 0) AS INT) AS row, count(*) AS n FROM d, k GROUP BY ALL), sc AS (SELECT image, i, sum(n * n) AS s, sum(n) AS p FROM pt GROUP BY image, i) SELECT image, CASE WHEN max(p) < 50 THEN 0 ELSE -8.0 + arg_min(i, (-s, i)) * 0.25 END::DOUBLE AS angle FROM sc GROUP BY image",
 }
