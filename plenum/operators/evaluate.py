@@ -67,11 +67,15 @@ def index_percentiles(rows: DataFrame, value: str, percents: Sequence[int]) -> D
     return placed.where((at >= F.col("__before")) & (at < F.col("__before") + F.col("__n"))).select("q", F.col(value).alias("pick"))
 
 
-def max_gap_midpoint(rows: DataFrame, day: str, least_days: int = 20) -> DataFrame:
-    """Middle of the longest gap between distinct days, if it is long enough."""
+def max_gap_midpoint(rows: DataFrame, day: str, least_days: int = 20, default: str | None = None) -> DataFrame:
+    """Middle of the longest gap between distinct days, if it is long enough; else no row, or one with the default as its middle."""
     days = rows.select(F.to_date(day).alias("d")).distinct()
     gaps = days.select("d", F.lead("d").over(Window.orderBy("d")).alias("hi")).where("hi IS NOT NULL").withColumn("gap", F.datediff("hi", "d"))
-    best = gaps.agg(F.max(F.struct("gap", "d")).alias("b")).select("b.*").where(F.col("gap") >= least_days)
+    best = gaps.agg(F.max(F.when(F.col("gap") >= least_days, F.struct("gap", "d"))).alias("b"))
+    if default is not None:
+        middle = F.date_format(F.date_add("b.d", F.floor(F.col("b.gap") / 2).cast("int")), "yyyy-MM-dd")
+        return best.select(F.date_format("b.d", "yyyy-MM-dd").alias("lo"), F.col("b.gap").cast("long").alias("gap"), F.coalesce(middle, F.lit(default)).alias("midpoint"))
+    best = best.where("b IS NOT NULL").select("b.*")
     return best.select(F.date_format("d", "yyyy-MM-dd").alias("lo"), F.col("gap").cast("long").alias("gap"), F.date_format(F.date_add("d", F.floor(F.col("gap") / 2).cast("int")), "yyyy-MM-dd").alias("midpoint"))
 
 

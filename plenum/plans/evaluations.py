@@ -94,6 +94,14 @@ def max_gap_midpoint(spark, sf_dir):
     return evaluate.max_gap_midpoint(table(spark, sf_dir, "orders"), "o_orderdate")
 
 
+def stale_cutoff(spark, sf_dir):
+    """The middle of the longest gap between the days on which costly urgent orders of one customer in five came in, else a default."""
+    o = table(spark, sf_dir, "orders")
+    d = o.select((F.col("o_custkey") % 5).alias("g"), "o_orderdate", ((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 150000)).alias("rare"))
+    long = evaluate.max_gap_midpoint(d.where("g = 0 AND rare"), "o_orderdate", 4, "1995-07-01").withColumn("kind", F.lit("rare"))
+    return long.unionByName(evaluate.max_gap_midpoint(d, "o_orderdate", 20, "1995-07-01").withColumn("kind", F.lit("all")))
+
+
 def replay_diff(spark, sf_dir):
     """C5."""
     o = table(spark, sf_dir, "orders")
@@ -180,7 +188,7 @@ def gaps_out_of_fold(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (recurring_entities, recurring_abstain, corpus_revision, shrunken_accuracy, cell_refinement, lift_mining, label_xtab, brier_calibration, nearest_rank_pct, index_percentiles, runtime_stats, max_gap_midpoint, replay_diff, rule_mining_all, drift_audit, top_escapes, headroom_transfer, margin_precision, oracle_ceilings, out_of_fold, rules_out_of_fold, gaps_out_of_fold)
+    for f in (recurring_entities, recurring_abstain, corpus_revision, shrunken_accuracy, cell_refinement, lift_mining, label_xtab, brier_calibration, nearest_rank_pct, index_percentiles, runtime_stats, max_gap_midpoint, replay_diff, rule_mining_all, drift_audit, top_escapes, headroom_transfer, margin_precision, oracle_ceilings, out_of_fold, rules_out_of_fold, gaps_out_of_fold, stale_cutoff)
 }
 
 _K = "SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 20 = 0 THEN o_custkey % 6 ELSE 1000000 + o_orderkey END AS k FROM orders"
@@ -199,6 +207,9 @@ _ACC = f"""{_LAB}, cp AS (SELECT guess, avg((guess = quality)::INT) AS p FROM la
 _RANK = "SELECT {g} q, pick FROM (SELECT {g} q, CAST(round_even(q / 100.0::DOUBLE * (n - 1), 0) AS BIGINT) AS place, vs FROM (SELECT {g} count(*) AS n, list_sort(list({v})) AS vs FROM {t} {by}), (SELECT unnest([{q}]) AS q)), LATERAL (SELECT vs[place + 1] AS pick)"
 
 ORACLES = {
+    "stale_cutoff": """WITH o AS (SELECT 'all' AS kind, CAST(o_orderdate AS DATE) AS d, 20 AS least FROM orders UNION SELECT 'rare', CAST(o_orderdate AS DATE), 4 FROM orders WHERE o_custkey % 5 = 0 AND o_orderpriority = '1-URGENT' AND o_totalprice > 150000),
+        g AS (SELECT kind, d, lead(d) OVER (PARTITION BY kind ORDER BY d) - d AS gap, least FROM o), b AS (SELECT kind, max({'gap': gap, 'd': d}) FILTER (gap >= least) AS b FROM g GROUP BY kind)
+        SELECT kind, strftime(b.d, '%Y-%m-%d') AS lo, CAST(b.gap AS BIGINT) AS gap, coalesce(strftime(b.d + CAST(floor(b.gap / 2) AS INT), '%Y-%m-%d'), '1995-07-01') AS midpoint FROM b""",
     "rules_out_of_fold": """WITH l AS (SELECT l_suppkey AS s, CAST(l_orderkey % 5 AS INT) AS fold, l_discount <= 0.09 AS ok, l_returnflag <> 'N' AS known, l_linestatus AS st FROM lineitem),
         g AS (SELECT s, fold, count(*) AS tried, count(*) FILTER (ok) AS held FROM l GROUP BY s, fold),
         r AS (SELECT g.s, g.fold, count(*) AS n, bool_and(ok) AS every, count(*) FILTER (known) AS k, bool_and(ok) FILTER (known) AS ek, string_agg(DISTINCT st, '|' ORDER BY st) AS seen FROM g JOIN l ON l.s = g.s AND l.fold <> g.fold GROUP BY g.s, g.fold)

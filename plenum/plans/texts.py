@@ -189,7 +189,24 @@ _TYPES = "g AS (SELECT p_partkey, lower(CASE WHEN p_partkey % 3 = 0 THEN substr(
 _OPTS = "o AS (SELECT unnest(['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD']) AS opt)"
 _PAIRLIST = "[" + ", ".join(f"'{p}'" for x, y in fuzzy.PAIRS for p in (x + y, y + x)) + "]"
 
+
+
+def _blocks(pairs: str) -> str:
+    """Matching blocks of pairs (a, b): of the longest common runs the one that starts first in a, then in b; then what lies left and right of it."""
+    run = "list_max([k FOR k IN range(0, CAST(least(a1 - i, b1 - j) AS INT) + 1) IF substr(a, CAST(i AS INT) + 1, CAST(k AS INT)) = substr(b, CAST(j AS INT) + 1, CAST(k AS INT))])"
+    best = f"list_max(flatten([[{{'k': {run}, 'i': -i, 'j': -j}} FOR j IN range(b0, b1)] FOR i IN range(a0, a1)]))"
+    return f"""seg AS (
+      SELECT a, b, 0::BIGINT AS a0, length(a)::BIGINT AS a1, 0::BIGINT AS b0, length(b)::BIGINT AS b1, 0::BIGINT AS k, 0 AS depth FROM ({pairs})
+      UNION ALL
+      SELECT a, b, unnest([a0, -m.i + m.k]), unnest([-m.i, a1]), unnest([b0, -m.j + m.k]), unnest([-m.j, b1]), unnest([m.k, 0]), depth + 1
+      FROM (SELECT *, {best} AS m FROM seg WHERE a0 < a1 AND b0 < b1) WHERE m.k > 0
+    ), ratio AS (SELECT a, b, CASE WHEN length(a) + length(b) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * sum(k) / (length(a) + length(b)) END AS ratio FROM seg GROUP BY a, b)"""
+
+
+_LINE = "SELECT s_suppkey, 'page ' || s_suppkey || CASE s_suppkey % 3 WHEN 0 THEN ' fee recept' WHEN 1 THEN ' bicmetric scan slip' ELSE ' regstry extract' END AS text, unnest(['fee receipt', 'biometric scan', 'registry extract']) AS title FROM supplier"
 ORACLES = {
+    "seq_ratio_match": f"WITH RECURSIVE {_TYPES}, {_OPTS}, {_blocks('SELECT raw AS a, lower(opt) AS b FROM (SELECT DISTINCT raw FROM g), o')} SELECT a AS raw, b AS option, round(ratio, 9) AS ratio FROM ratio",
+    "title_window_match": f"WITH RECURSIVE l AS ({_LINE}), w AS (SELECT s_suppkey, title, unnest([substr(text, CAST(k AS INT) + 1, length(title)) FOR k IN range(0, greatest(1, length(text) - length(title) + 1))]) AS win FROM l), {_blocks('SELECT DISTINCT title AS a, win AS b FROM w')}, t AS (SELECT s_suppkey, title, max(ratio) AS ratio FROM w JOIN ratio ON a = title AND b = win GROUP BY ALL) SELECT s_suppkey, arg_min(title, (-ratio, title)) AS title, round(max(ratio), 9) AS ratio FROM t GROUP BY s_suppkey",
     "id_coerce": f"WITH {_GARBLED} SELECT k, raw, fixed FROM h",
     "id_coerce_summary": f"WITH {_GARBLED} SELECT CASE WHEN fixed IS NULL THEN 'null' WHEN fixed <> truth THEN 'wrong' WHEN raw = truth THEN 'clean' ELSE 'garbled' END AS outcome, count(*) AS n FROM h GROUP BY 1",
     "date_coerce": "WITH d AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 9 = 0 THEN '2026' ELSE '2025' END || strftime(o_orderdate, '-%m-') || lpad((day(o_orderdate) + o_orderkey % 3)::VARCHAR, 2, '0') AS fixed FROM orders) SELECT k, fixed, try_cast(fixed AS DATE) IS NOT NULL AS valid FROM d",
