@@ -6,12 +6,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
-_SCRATCH: list[list[str]] = []
+#: Tables made in the scratches that are open, the innermost last; each thread of the driver has its own.
+_SCRATCH: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,32 +36,37 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/plenum/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if _SCRATCH:
-        _SCRATCH[-1].append(path)
+    if _SCRATCH.get():
+        _SCRATCH.get()[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables stashed inside are removed at the end; what is to last must have been written anew after it, or by then."""
-    _SCRATCH.append([])
+    made: list[str] = []
+    before = _SCRATCH.set((*_SCRATCH.get(), made))
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
-        for path in _SCRATCH.pop():
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        _SCRATCH.reset(before)
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def lasting(df: DataFrame, tag: str) -> DataFrame:
     """A stash that outlives the scratch it is made in."""
-    outer = _SCRATCH[:]
-    _SCRATCH.clear()
+    before = _SCRATCH.set(())
     try:
         return stash(df, tag)
     finally:
-        _SCRATCH.extend(outer)
+        _SCRATCH.reset(before)
 
 
 def cumulate(df: DataFrame, group: list[Column], order: list[Column], amounts: dict[str, Column], tag: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plenum.operators import running, sequences
 from plenum.session import table
+from plenum.sources import ordered
 
 
 def forward_fill(spark, sf_dir):
@@ -132,16 +133,30 @@ def interval_overlap(spark, sf_dir):
     return j.where(F.exists("s", lambda s: (s["l_quantity"] < F.col("x1")) & (s["l_quantity"] + 3 > F.col("x0")) & (F.abs(s["y"] - F.col("l_linenumber")) <= 2))).groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("struck"))
 
 
+def ordered_sink(spark, sf_dir):
+    """All orders written in order of price and key, part by part, and read back: how many, and whether any part runs into the next."""
+    import uuid
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    path = f"{running.shared_dir(spark)}/plenum/ordered-{uuid.uuid4().hex}"
+    ordered.register(spark)
+    o.orderBy("cents", "o_orderkey").write.format("ordered").mode("append").save(path)
+    back = ordered.read_ordered(spark, path, "o_orderkey long, cents long")
+    parts = back.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.min(F.struct("cents", "o_orderkey")).alias("lo"), F.max(F.struct("cents", "o_orderkey")).alias("hi"))
+    apart = F.coalesce(F.lag("hi").over(Window.orderBy("part")) < F.col("lo"), F.lit(True))  # a row for each part
+    return parts.select("n", "keys", apart.alias("apart")).agg(F.sum("n").alias("n"), F.sum("keys").alias("keys"), F.bool_and("apart").alias("in_order"))
+
+
 def left_join_pages(spark, sf_dir):
     """Every order with its readings, or none."""
     o = table(spark, sf_dir, "orders")
-    l = table(spark, sf_dir, "lineitem").where("l_quantity > 45")  # noqa: E741
+    l = table(spark, sf_dir, "lineitem")  # noqa: E741
     return o.join(l, F.col("o_orderkey") == F.col("l_orderkey"), "left").groupBy("o_orderkey").agg(F.count("l_orderkey").alias("reads"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (forward_fill, islands, island_lengths, nearest_asof_fill, kfold_round_robin, stratified_split, stratified_sample, hard_first_round_robin, adjacent_ratio, negation_lookback, semi_split, anti_missing, resume_merge, alignment_check, set_algebra, three_way_join, interval_overlap, left_join_pages)
+    for f in (forward_fill, islands, island_lengths, nearest_asof_fill, kfold_round_robin, stratified_split, stratified_sample, hard_first_round_robin, adjacent_ratio, negation_lookback, semi_split, anti_missing, resume_merge, alignment_check, set_algebra, three_way_join, interval_overlap, left_join_pages, ordered_sink)
 }
 
 _RUN = "f AS (SELECT *, CASE WHEN event_type IS NOT DISTINCT FROM lag(event_type) OVER w AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), r AS (SELECT *, CAST(sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run FROM f)"
@@ -163,5 +178,6 @@ ORACLES = {
     "set_algebra": "WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT'), b AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F') SELECT 'both' AS part, count(*) AS n FROM a JOIN b USING (k) UNION ALL SELECT 'only_a', count(*) FROM a ANTI JOIN b USING (k) UNION ALL SELECT 'one', (SELECT count(*) FROM a ANTI JOIN b USING (k)) + (SELECT count(*) FROM b ANTI JOIN a USING (k))",
     "three_way_join": "SELECT n_name, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY n_name",
     "interval_overlap": "WITH s AS (SELECT * FROM lineitem WHERE l_returnflag = 'R') SELECT l_orderkey, count(*) AS struck FROM lineitem a WHERE l_returnflag = 'A' AND EXISTS (SELECT 1 FROM s WHERE s.l_orderkey = a.l_orderkey AND s.l_quantity < a.l_quantity + 5 AND s.l_quantity + 3 > a.l_quantity AND abs(s.l_linenumber - a.l_linenumber) <= 2) GROUP BY l_orderkey",
-    "left_join_pages": "SELECT o_orderkey, count(l_orderkey) AS reads FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity > 45) ON l_orderkey = o_orderkey GROUP BY o_orderkey",
+    "ordered_sink": "SELECT count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, true AS in_order FROM orders",
+    "left_join_pages": "SELECT o_orderkey, count(l_orderkey) AS reads FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey",
 }

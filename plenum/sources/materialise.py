@@ -96,8 +96,13 @@ class _PacketReader(DataSourceReader):
 
 
 def _case(line: bytes) -> tuple | None:
-    """A case's row; none for the header and empty lines."""
-    item = json.loads(line) if line.strip() else {"_meta": None}
+    """A case's row; none for the header and empty lines; a line that is no JSON object is a row that holds the error."""
+    try:
+        item = json.loads(line) if line.strip() else {"_meta": None}
+    except ValueError as e:
+        return None, None, f"no JSON: {e}", None
+    if not isinstance(item, dict):
+        return None, None, "no JSON object", None
     return None if "_meta" in item else (item.get("stem"), item.get("cost_ms"), item.get("error"), json.dumps(item.get("pages")))
 
 
