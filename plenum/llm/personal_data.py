@@ -9,6 +9,9 @@ Base kinds, leftmost and non-overlapping within each kind (a match that fails it
 not retried): email, ip (four parts of at most 255), card (14 to 19 digits passing Luhn), phone (10 to 15
 digits after a plus sign). Added kinds: login (URL with user and password), iban (mod 97 right), account
 (a number with at least six digits after a cue), handle (a name after a lone at-sign).
+What an added kind admits is part of what it is: user names and passwords of up to 128 characters and hosts of up to 253 in a
+login, numbers of 6 to 34 digits and up to three words or signs between cue and number in an account, up to three
+other characters before an iban, names of 3 to 30 characters in a handle. Base kinds have no such bounds.
 
 Defined cases
 - null and empty texts: no spans. Empty table: empty result. Repeated rows: each by itself.
