@@ -53,3 +53,12 @@ def test_left_join_pages_keeps_every_order(spark, tmp_path):
     sf = written(spark, tmp_path, orders=(orders, "o_orderkey long"), lineitem=(lines, "l_orderkey long, l_quantity double"))
     want = {k: sum(key == k and q > 45 for key, q in lines) for (k,) in orders}
     assert dict(QUERIES["left_join_pages"](spark, sf).collect()) == want
+
+
+def test_sponsor_support_takes_the_least_id_of_one_place(spark, tmp_path):
+    # Order 10, line 1, part 0 shows 0010, 0011 and 0012, which a page reads as 00l0, 00ll and 00l2; order 19 shows 0019 and 0020.
+    # Parts 5 and 3,000,005 of order 50 stand in one place, too.
+    items = [(10, 0, 2, 1), (10, 0, 1, 1), (10, 0, 0, 1), (19, 5, 1, 1), (19, 5, 0, 1), (50, 3_000_005, 0, 1), (50, 5, 1, 4), (50, 10, 1, 1)]
+    sf = written(spark, tmp_path, lineitem=(items, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int"))
+    got = {r["case_id"]: (r["sponsor_id"], r["pages"]) for r in QUERIES["sponsor_support"](spark, sf).collect()}
+    assert got == {"10": ("SPN-0010", 1), "19": ("SPN-0019", 1), "50": ("SPN-0051", 1)}
