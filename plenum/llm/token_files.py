@@ -52,6 +52,8 @@ SAMPLE = 2000
 SAMPLE_BYTES = 16 << 10
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
+#: Parts that a worker remembers: one batch of texts has tens of thousands of new ones.
+REMEMBERED = 200_000
 INDEX = pa.schema([("doc_id", pa.int64()), ("at", pa.int64()), ("n_tokens", pa.int64()), ("before", pa.int64())])
 BLOCKS = pa.schema([("first_id", pa.int64()), ("last_id", pa.int64()), ("frames_at", pa.int64()), ("index_at", pa.int64()), ("index_end", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64()), ("ids_before", pa.int64())])
 MANIFEST = "path string, shard int, block int, first_id long, last_id long, frames_at long, index_at long, index_end long, docs long, ids long, ids_before long"
@@ -69,7 +71,7 @@ _ENCODERS: dict[str, ByteTokens] = {}
 def encoder(name: str) -> ByteTokens:
     """One encoder for each distributed tokenizer and worker process."""
     if name not in _ENCODERS:
-        _ENCODERS[name] = ByteTokens(SparkFiles.get(name))
+        _ENCODERS[name] = ByteTokens(SparkFiles.get(name), remembered=REMEMBERED)
     return _ENCODERS[name]
 
 

@@ -78,7 +78,7 @@ def _byte_of() -> dict[str, int]:
 class ByteTokens:
     """Ids by a tokenizers file. `plain_specials`: special tokens' strings inside texts are plain text."""
 
-    def __init__(self, path: str, plain_specials: bool = False) -> None:
+    def __init__(self, path: str, plain_specials: bool = False, remembered: int = REMEMBERED) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -98,7 +98,7 @@ class ByteTokens:
         self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         shown = {b: c for c, b in _byte_of().items()} | {0xFF: " "}  # no UTF-8 text holds this byte
         self.shown = str.maketrans({chr(b): c for b, c in shown.items()})
-        self.memo = PartMemo(self._encode)
+        self.memo = PartMemo(self._encode, remembered)
 
     @staticmethod
     def _spelled(vocabulary: dict[str, int]) -> list[bytes]:

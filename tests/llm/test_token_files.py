@@ -148,3 +148,14 @@ def test_the_pattern_cuts_every_sure_character_as_the_library_does():
     for c in sure:
         text = f"a{c}1{c}. {c}  {c}"
         assert [text[p:q] for _, (p, q) in tok.pre_tokenizer.pre_tokenize_str(text)] == own.parts(text), repr(c)
+
+
+def test_encoder_remembers_the_parts_of_several_batches(monkeypatch):
+    monkeypatch.setattr(token_files.SparkFiles, "get", lambda name: token_files.default_tokenizer())
+    monkeypatch.setattr(token_files, "_ENCODERS", {})
+    memo, asked = token_files.encoder("any").memo, []
+    memo.encode = lambda parts: asked.extend(parts) or [p.encode() for p in parts]
+    batches = [[f" {k}" for k in range(first, first + 10_000)] for first in range(0, 120_000, 10_000)]
+    for batch in [*batches, *batches]:
+        assert memo([batch]) == ["".join(batch).encode()]
+    assert len(asked) == 120_000
